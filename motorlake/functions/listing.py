@@ -23,45 +23,58 @@ def _without_commas(p_text: Column) -> Column:
     return F.replace(p_text, F.lit(","), F.lit(""))
 
 
-def _price_digits(p_text: Column) -> Column:
-    """First run of digits; null when the text states no price."""
+def _stated_price(p_text: Column) -> Column:
+    """First run of digits as a number; null when the text states no price."""
     digits = F.regexp_extract(_without_commas(p_text), r"([0-9]+)", 1)
-    stated = ~p_text.contains(K.MISSING_TEXT) & (digits != "")
-    return F.when(stated, digits)
+    return F.when(~p_text.contains(K.MISSING_TEXT), digits.try_cast("double"))
 
 
 def price_value(p_text: Column) -> Column:
-    return F.coalesce(_price_digits(p_text).try_cast("double"), F.lit(0.0))
+    return F.coalesce(_stated_price(p_text), F.lit(0.0))
 
 
-def price_currency(p_text: Column) -> Column:
+def _by_mark(p_text: Column, result) -> Column:
+    """CASE over the currency marks in their order, ``result(code)`` for the first hit."""
     clean = _without_commas(p_text)
-    found = F.when(_price_digits(p_text).isNull(), K.DEFAULT_CURRENCY)
-    for code, marks in K.CURRENCY_MARKS:
-        hit = clean.contains(marks[0])
-        for mark in marks[1:]:
-            hit = hit | clean.contains(mark)
-        found = found.when(hit, code)
-    return found.otherwise(K.DEFAULT_CURRENCY)
+    chain = F
+    for code, (symbol, letters) in K.CURRENCY_MARKS:
+        chain = chain.when(p_text.contains(symbol) | clean.contains(letters), result(code))
+    return chain.otherwise(result(K.DEFAULT_CURRENCY))
+
+
+def price_currency(p_text: Column) -> Column:
+    marked = _by_mark(p_text, F.lit)
+    return F.when(_stated_price(p_text).isNull(), K.DEFAULT_CURRENCY).otherwise(marked)
+
+
+def _rate(code: str, rates: Mapping[str, float]) -> Column:
+    """The rate as a literal. A code without one fails the job when a row uses it."""
+    if code == K.DEFAULT_CURRENCY:
+        return F.lit(1.0)
+    if code in rates:
+        return F.lit(float(rates[code]))
+    return F.raise_error(F.lit(f"no exchange rate for {code}")).cast("double")
 
 
 def rate_of(currency: Column, rates: Mapping[str, float]) -> Column:
-    """Rate of one of the parsed currencies as a CASE over literals.
+    """Rate of a parsed currency as a CASE over literals.
 
     Only the four codes ``price_currency`` can return occur, so the expression has a
-    fixed size and needs no join. A code without a rate fails the job when a row uses it.
+    fixed size and needs no join.
     """
-    chain = F.when(currency == K.DEFAULT_CURRENCY, F.lit(1.0))
+    chain = F
     for code, _ in K.CURRENCY_MARKS:
-        if code in rates:
-            chain = chain.when(currency == code, F.lit(float(rates[code])))
-    return chain.otherwise(
-        F.raise_error(F.concat(F.lit("no exchange rate for "), currency)).cast("double")
-    )
+        chain = chain.when(currency == code, _rate(code, rates))
+    return chain.otherwise(_rate(K.DEFAULT_CURRENCY, rates))
 
 
 def price_usd(p_text: Column, rates: Mapping[str, float] = K.DEFAULT_RATES) -> Column:
-    return price_value(p_text) / rate_of(price_currency(p_text), rates)
+    """Price in dollars; 0 when none is stated, as 0 stays 0 at any rate.
+
+    Kept small on purpose: filters repeat this expression.
+    """
+    priced = _stated_price(p_text) / _by_mark(p_text, lambda code: _rate(code, rates))
+    return F.coalesce(priced, F.lit(0.0))
 
 
 # ---------------------------------------------------------------- mileage, fuel, place

@@ -35,7 +35,12 @@ def contains_like(text: Column, wanted: str) -> Column:
     """
     folded = wanted.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
     pattern = "%" + folded.replace("\\", "\\\\") + "%"
-    return fold_ascii(text).like(pattern)
+    exact = fold_ascii(text).like(pattern)
+    if wanted.isascii() and "_" not in wanted:
+        # ILIKE folds every script, so it keeps at least the same rows, and it is several
+        # times faster: let it go first.
+        return text.ilike(pattern) & exact
+    return exact
 
 
 def try_int(text: Column) -> Column:

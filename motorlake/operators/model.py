@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from motorlake import constants as K
 from motorlake.functions import listing as L
+from motorlake.sources.tables import materialise
 
 FOLDS = 5
 SMOOTHING = 10.0
@@ -73,8 +74,7 @@ def category_stats(train: DataFrame, label: str = "Log_Price") -> DataFrame:
 def save_encoder(train: DataFrame, path: str, label: str = "Log_Price") -> None:
     """Store the statistics by feature, so that a lookup reads one small folder."""
     stats = category_stats(train, label).hint("rebalance", "feature")
-    stats.write.mode("overwrite").partitionBy("feature").parquet(f"{path}/stats")
-    train.agg(F.avg(label).alias("prior")).write.mode("overwrite").parquet(f"{path}/prior")
+    stats.write.mode("overwrite").partitionBy("feature").parquet(path)
 
 
 def _encoding(side: str, prior: Column, out_of_fold: bool) -> Column:
@@ -96,8 +96,10 @@ def encode_categoricals(rows: DataFrame, path: str, out_of_fold: bool) -> DataFr
     a common category.
     """
     spark = rows.sparkSession
-    stats = spark.read.parquet(f"{path}/stats")
-    prior = spark.read.parquet(f"{path}/prior").select("prior").scalar()
+    stats = spark.read.parquet(path)
+    # Each feature covers every training row, so the smallest one gives the overall mean.
+    flags = stats.where(F.col("feature") == "Taxed")
+    prior = flags.agg((F.sum("s") / F.sum("n")).alias("prior")).scalar()
     joined = rows.withColumns({"_prior": prior, "_fold": fold_of(F.col("id"))})
     encoded = joined.alias("rows")
     for name in K.CATEGORICALS:
@@ -154,8 +156,11 @@ def train_price_model(
         subsamplingRate=settings.row_share,
         seed=settings.seed,
     )
-    needed = encoded.select("id", "Log_Price", *ENCODED, *NUMERICS)
-    model = Pipeline(stages=[assembler, trees]).fit(needed)
+    # The trainer scans its input several times before it caches; give it a stored table
+    # instead of the joins.
+    needed = encoded.select("Log_Price", *ENCODED, *NUMERICS)
+    vectors = materialise(needed, f"{path}/input")
+    model = Pipeline(stages=[assembler, trees]).fit(vectors)
     model.write().overwrite().save(f"{path}/trees")
     return model
 

@@ -52,6 +52,18 @@ def _bounded(rows: DataFrame, value: Column, low, high) -> DataFrame:
     return rows
 
 
+def _with_computed(rows: DataFrame, **values: Column) -> DataFrame:
+    """Adds columns that later filters read as plain columns.
+
+    A filter on a computed column is rewritten to repeat its expression, so each bound
+    would run the regular expressions again. Going through a one-row ``inline`` computes
+    them once per row, inside the same codegen stage; filters on stored columns still move
+    below it and run first.
+    """
+    packed = F.struct(*[value.alias(name) for name, value in values.items()])
+    return rows.withColumn("_packed", packed).select("*", F.inline(F.array("_packed"))).drop("_packed")
+
+
 def filter_title_like(items: DataFrame, wanted: str) -> DataFrame:
     """Make and model filters both look in the raw title."""
     return items.where(contains_like(F.col("l_text"), wanted)) if wanted else items
@@ -61,8 +73,26 @@ def filter_fuel_any(items: DataFrame, wanted: str) -> DataFrame:
     return items.where(L.fuel_matches(F.col("at_text"), wanted)) if wanted else items
 
 
+def _numeric_filters(
+    items: DataFrame, params: SearchParams, rates: Mapping[str, float]
+) -> DataFrame:
+    by_km = (params.min_km, params.max_km) != (None, None)
+    by_price = (params.min_price_usd, params.max_price_usd) != (None, None)
+    values = {}
+    if by_km:
+        values["_km"] = L.mileage_km(F.col("at_text"))
+    if by_price:
+        values["_usd"] = L.price_usd(F.col("p_text"), rates)
+    if not values:
+        return items
+    rows = _with_computed(items, **values)
+    rows = _bounded(rows, F.col("_km"), params.min_km, params.max_km)
+    rows = _bounded(rows, F.col("_usd"), params.min_price_usd, params.max_price_usd)
+    return rows.drop(*values)
+
+
 def filter_km_range(items: DataFrame, low: int | None = None, high: int | None = None) -> DataFrame:
-    return _bounded(items, L.mileage_km(F.col("at_text")), low, high)
+    return _numeric_filters(items, SearchParams(min_km=low, max_km=high), {})
 
 
 def filter_price_usd_range(
@@ -71,18 +101,17 @@ def filter_price_usd_range(
     high: float | None = None,
     rates: Mapping[str, float] = K.DEFAULT_RATES,
 ) -> DataFrame:
-    return _bounded(items, L.price_usd(F.col("p_text"), rates), low, high)
+    return _numeric_filters(items, SearchParams(min_price_usd=low, max_price_usd=high), rates)
 
 
 def matching_items(
     items: DataFrame, params: SearchParams, rates: Mapping[str, float] = K.DEFAULT_RATES
 ) -> DataFrame:
-    """Every item the filters keep, cheap text tests first."""
+    """Every item the filters keep: text tests first, then the parsed numbers."""
     rows = filter_title_like(items, params.make)
     rows = filter_title_like(rows, params.model)
     rows = filter_fuel_any(rows, params.fuel)
-    rows = filter_km_range(rows, params.min_km, params.max_km)
-    return filter_price_usd_range(rows, params.min_price_usd, params.max_price_usd, rates)
+    return _numeric_filters(rows, params, rates)
 
 
 def paginate(rows: DataFrame, page: int, size: int = K.PAGE_SIZE) -> DataFrame:

@@ -67,11 +67,21 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_of(part: DataFrame) -> DataFrame:
-    return part.sparkSession.sql(ITEMS, part=part)
+    """Items whose columns operators see as plain columns, as from a stored table.
+
+    Without the one-row ``inline`` the optimizer would paste the text-building SQL into
+    every place a filter mentions a column.
+    """
+    rows = part.sparkSession.sql(ITEMS, part=part)
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CARS, orders=table(spark, sf_dir, "orders"))
+    return cars_of(table(spark, sf_dir, "orders"))
+
+
+def cars_of(orders: DataFrame) -> DataFrame:
+    return orders.sparkSession.sql(CARS, orders=orders)
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from motorlake.functions import listing as L
 from motorlake.operators import extract, ingest
 from motorlake.plans import adapters, listings
 from motorlake.plans.registry import query, with_tables
+from motorlake.sources.tables import spread_scan
 
 _IMAGE = (
     "case ingest_seq % 3 when 0 then concat('https://img.example/', id, '.jpg') "
@@ -23,7 +24,12 @@ _CARDS = (
 
 
 def _category_pages(spark, sf):
-    return adapters.category_pages(adapters.items(spark, sf))
+    part = spread_scan(adapters.table(spark, sf, "part"))
+    return adapters.category_pages(adapters.items_of(part))
+
+
+def _cars(spark, sf):
+    return adapters.cars_of(spread_scan(adapters.table(spark, sf, "orders")))
 
 
 @query("extract_gl_cards", with_tables("items", _CARDS))
@@ -123,7 +129,7 @@ _OFFERS = """
 
 @query("extract_offer_cards", with_tables("cars", _OFFERS))
 def extract_offer_cards(spark, sf):
-    cards = extract.extract_offer_cards(adapters.offer_pages(adapters.cars(spark, sf)))
+    cards = extract.extract_offer_cards(adapters.offer_pages(_cars(spark, sf)))
     return cards.withColumn("taxed", F.col("taxed").cast("string"))
 
 
@@ -134,7 +140,7 @@ def extract_offer_cards(spark, sf):
     "as original_price_text from orders",
 )
 def price_text_currency(spark, sf):
-    cards = extract.extract_offer_cards(adapters.offer_pages(adapters.cars(spark, sf)))
+    cards = extract.extract_offer_cards(adapters.offer_pages(_cars(spark, sf)))
     return cards.where("error IS NULL").select("page_id", "currency", "original_price_text")
 
 
@@ -148,7 +154,7 @@ def price_text_currency(spark, sf):
     ),
 )
 def extract_detail_tags(spark, sf):
-    return extract.extract_detail_tags(adapters.detail_pages(adapters.cars(spark, sf)))
+    return extract.extract_detail_tags(adapters.detail_pages(_cars(spark, sf)))
 
 
 @query(

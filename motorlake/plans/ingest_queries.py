@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from motorlake import constants as K
 from motorlake import schemas
-from motorlake.operators import extract, facets, ingest, search, unify
+from motorlake.operators import ingest, unify
 from motorlake.operators.features import clean_numeric
 from motorlake.plans import adapters
 from motorlake.plans.registry import query, with_tables
@@ -145,14 +145,12 @@ def upsert_latest_items(spark, sf):
     "upsert_latest_cars",
     with_tables(
         "cars",
-        "select id, brand, price, cast(scraped_at as date) as day from cars where id not in (select id from batch) "
-        "union all select id, brand, price, date '2025-01-01' from batch",
-        batch=f"select cast(l_orderkey as varchar) as id, 'B' as brand, l_extendedprice as price from "
+        "select id, brand, price, strftime(scraped_at, '%Y-%m-%d') as day from cars "
+        "where id not in (select id from batch) union all select id, brand, price, '2025-01-01' from batch",
+        batch="select cast(l_orderkey as varchar) as id, 'B' as brand, l_extendedprice as price from "
         f"(select *, row_number() over (partition by l_orderkey order by row({_SEQ}) desc) as rn from lineitem "
         "where l_quantity < 20) t where rn = 1",
-    ).replace("date '2025-01-01'", "cast('2025-01-01' as date)")
-    .replace("cast(scraped_at as date) as day", "strftime(scraped_at, '%Y-%m-%d') as day")
-    .replace("cast('2025-01-01' as date)", "'2025-01-01'"),
+    ),
 )
 def upsert_latest_cars(spark, sf):
     lines = adapters.table(spark, sf, "lineitem").where("l_quantity < 20")
@@ -403,8 +401,9 @@ def search_request_filter(spark, sf):
 # ---------------------------------------------------------------- streams
 
 def _stream(spark, sf, name):
-    path = f"{sf}/{name}.parquet"
-    return landing.read_landing(spark, path, spark.read.parquet(path).schema)
+    file = f"{name}.parquet"
+    schema = adapters.table(spark, sf, name).schema
+    return landing.read_landing(spark, sf, schema, files=file)
 
 
 @query(

@@ -287,7 +287,7 @@ def _stat(column: str) -> str:
     ),
 )
 def encode_categoricals(spark, sf):
-    train, _ = model.train_test_split(adapters.training_set(spark, sf))
+    train, _ = _stored_training_set(spark, sf)
     path = new_folder(spark, "encoder")
     model.save_encoder(train, path)
     encoded = model.encode_categoricals(train, path, out_of_fold=True)
@@ -300,15 +300,26 @@ def _stored_training_set(spark, sf):
     return model.train_test_split(rows)
 
 
-def _fitted(spark, sf):
+def _fit(spark, sf):
     train, test = _stored_training_set(spark, sf)
     path = new_folder(spark, "price-model")
     return model.train_price_model(train, path, SETTINGS), path, train, test
 
 
+_fits: dict[tuple[str, str], tuple] = {}
+
+
+def _fitted(spark, sf):
+    """One model per session and data folder, for the queries that only use it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _fits:
+        _fits[key] = _fit(spark, sf)
+    return _fits[key]
+
+
 @query("train_price_model")
 def train_price_model(spark, sf):
-    fitted, path, train, _ = _fitted(spark, sf)
+    fitted, path, train, _ = _fit(spark, sf)
     return model.training_curve(fitted, path, train)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from motorlake import constants as K
 from motorlake.functions import listing as L
 from motorlake.functions.sql import register_functions
 from motorlake.operators import facets, search
@@ -84,7 +83,7 @@ _PAIRS = """
 _RATE_PAIRS = (
     "from pairs left join rates f on f.currency = source left join rates t on t.currency = target"
 )
-_CONVERTED = f"amount / coalesce(f.per_usd, 1) * coalesce(t.per_usd, 1)"
+_CONVERTED = "amount / coalesce(f.per_usd, 1) * coalesce(t.per_usd, 1)"
 
 
 def _pairs(spark, sf):
@@ -95,14 +94,14 @@ def _pairs(spark, sf):
     "convert_currency",
     with_tables(
         "rates",
-        f"select id, round({_CONVERTED}, 2) as converted {_RATE_PAIRS}",
+        f"select id, round({_CONVERTED}, 4) as converted {_RATE_PAIRS}",
         pairs=_PAIRS.format(orders="orders"),
     ),
 )
 def convert_currency(spark, sf):
     rates = search.rates_table(spark)
     rows = search.convert_currency(_pairs(spark, sf), rates, "amount", "source", "target", "converted")
-    return rows.select("id", F.round("converted", 2).alias("converted"))
+    return rows.select("id", F.round("converted", 4).alias("converted"))
 
 
 @query(

@@ -17,6 +17,19 @@ def scan_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
+def spread_scan(rows: DataFrame) -> DataFrame:
+    """A stored table ahead of heavy per-row work, with a task for every core.
+
+    One small file is one split, and would keep one core busy. A table that already comes
+    in enough splits passes through untouched; only a smaller one is dealt out. For plain
+    scans: counting splits plans the scan and runs nothing.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def ensure_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
 ) -> None:
@@ -44,7 +57,15 @@ def materialise(rows: DataFrame, path: str) -> DataFrame:
 # ---------------------------------------------------------------- tab-separated files
 
 def _tsv_options(multiline: bool) -> dict[str, object]:
-    return {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": multiline}
+    return {
+        "sep": "\t",
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multiline,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
 
 
 def read_tsv(
