@@ -245,7 +245,8 @@ def category_url(base: str, page: Column) -> Column:
 
 def frontier_pending(frontier: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pages not landed yet; landed pages shrink to distinct keys before the join."""
-    return frontier.join(landed.select(*keys).distinct(), list(keys), "left_anti")
+    rest = frontier.join(landed.select(*keys).distinct(), list(keys), "left_anti")
+    return rest.select(*frontier.columns)
 
 
 def price_range_assign(
