@@ -123,9 +123,12 @@ def parse_title(l_text: Column) -> Column:
     named = F.coalesce(F.size(words) >= 2, F.lit(False))
     year = F.when(named & first.rlike(r"^[0-9]+\z"), first.try_cast("int"))
     rest = F.array_join(F.slice(words, 3, F.greatest(F.size(words), F.lit(1))), " ")
+    # Never null, and plainly so: a join on the make then adds no null filter that would
+    # keep two uses of the same counts from sharing one shuffle.
+    make = F.coalesce(F.when(named, F.get(words, F.lit(1))), F.lit(K.UNKNOWN_MAKE))
     return F.struct(
         F.coalesce(year, F.lit(0)).alias("year"),
-        F.when(named, F.get(words, F.lit(1))).otherwise(K.UNKNOWN_MAKE).alias("make"),
+        make.alias("make"),
         F.when(named, rest).otherwise(l_text).alias("model"),
         F.when(named, F.coalesce(strip(F.get(parts, F.lit(1))), F.lit("")))
         .otherwise("")

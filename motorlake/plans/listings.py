@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motorlake.operators import extract, ingest, search
+from motorlake.session import new_folder
+from motorlake.sources.tables import materialise
 
 
 def items_from_pages(pages: DataFrame) -> DataFrame:
@@ -20,6 +22,11 @@ def items_from_pages(pages: DataFrame) -> DataFrame:
 
 
 def land_category_pages(pages: DataFrame, items: DataFrame, path: str) -> None:
-    """Merge new pages into items and store the typed result at ``path``."""
-    merged = ingest.upsert_latest_items(items, items_from_pages(pages))
-    search.write_typed_items(merged, path)
+    """Merge new pages into items and store the typed result at ``path``.
+
+    The merge reads its batch twice, so the parsed cards are stored first: pages are
+    parsed once.
+    """
+    folder = new_folder(pages.sparkSession, "landed-cards")
+    batch = materialise(items_from_pages(pages), folder)
+    search.write_typed_items(ingest.upsert_latest_items(items, batch), path)
