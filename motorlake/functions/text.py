@@ -41,7 +41,3 @@ def contains_like(text: Column, wanted: str) -> Column:
         # times faster: let it go first.
         return text.ilike(pattern) & exact
     return exact
-
-
-def try_int(text: Column) -> Column:
-    return text.try_cast("int")

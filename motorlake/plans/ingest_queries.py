@@ -443,4 +443,4 @@ def stream_progress(spark, sf):
     landing.stream_progress(
         pages, ["range_id", "outcome"], f"{folder}/counts", f"{folder}/checkpoint"
     ).awaitTermination()
-    return spark.read.parquet(f"{folder}/counts")
+    return landing.progress_counts(spark, f"{folder}/counts")

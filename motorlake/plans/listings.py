@@ -24,8 +24,9 @@ def items_from_pages(pages: DataFrame) -> DataFrame:
 def land_category_pages(pages: DataFrame, items: DataFrame, path: str) -> None:
     """Merge new pages into items and store the typed result at ``path``.
 
-    The merge reads its batch twice, so the parsed cards are stored first: pages are
-    parsed once.
+    ``path`` is a new folder, not the one ``items`` is read from: readers move over when
+    it is complete. The merge reads its batch twice, so the parsed cards are stored first
+    and pages are parsed once.
     """
     folder = new_folder(pages.sparkSession, "landed-cards")
     batch = materialise(items_from_pages(pages), folder)

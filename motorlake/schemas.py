@@ -39,11 +39,5 @@ TAGS = _struct(
 
 LEARNING_CURVE = _struct(iter=T.IntegerType(), RMSE=T.DoubleType())
 
-LISTING_VIEW = (
-    "id", "image", "price_raw", "currency_original", "year", "make", "model", "engine",
-    "location", "mileage", "fuel",
-)
-
-
 def all_strings(names) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in names])

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from motorlake import constants as K
+from motorlake import schemas
 
 
 def scan_table(spark: SparkSession, source: str) -> DataFrame:
@@ -39,6 +40,12 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 
+def ensure_listing_tables(spark: SparkSession) -> None:
+    """The three stored tables: items, cars, tags."""
+    for name, schema in (("items", schemas.ITEMS), ("cars", schemas.CARS), ("tags", schemas.TAGS)):
+        ensure_table(spark, name, schema)
+
+
 def write_replace(rows: DataFrame, target: str) -> None:
     """Replace a table (catalog name) or folder (path) with these rows."""
     if "/" in target:
@@ -105,9 +112,7 @@ def export_training_tsv(unified: DataFrame, path: str) -> None:
 
 def learning_curve(spark: SparkSession, path: str) -> DataFrame:
     """(iter, RMSE) rows of a training log."""
-    from motorlake.schemas import LEARNING_CURVE
-
-    return spark.read.schema(LEARNING_CURVE).options(**_tsv_options(False)).csv(path)
+    return spark.read.schema(schemas.LEARNING_CURVE).options(**_tsv_options(False)).csv(path)
 
 
 def best_iteration(curve: DataFrame) -> DataFrame:

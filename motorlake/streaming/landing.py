@@ -3,7 +3,8 @@
 Every micro-batch is written to its own folder of a batch log, named by the batch id
 Spark hands over. A batch that is run again after a failure replaces the same folder, so
 the log holds each batch once. The conflict rule is applied when the log is read: no
-micro-batch ever reads or rewrites what earlier ones wrote.
+micro-batch ever reads or rewrites what earlier ones wrote. A log belongs to its
+checkpoint: batch ids start over with a new checkpoint, so a new one needs a new log.
 """
 
 from __future__ import annotations
@@ -42,11 +43,6 @@ def _run(rows: DataFrame, write, checkpoint: str, mode: str = "append") -> Strea
     )
 
 
-def stream_to_log(rows: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Append every micro-batch to the batch log."""
-    return _run(rows, lambda batch, n: ingest.append_batch(batch, log, n), checkpoint)
-
-
 def stream_extract_upsert(pages: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     """Streaming pages (page_id, html) -> cards -> batch log, reduced to one row per id.
 
@@ -92,16 +88,21 @@ def first_tags_stateful(tags: DataFrame) -> DataFrame:
 
 
 def stream_progress(
-    pages: DataFrame, keys: list[str], target: str, checkpoint: str
+    pages: DataFrame, keys: list[str], log: str, checkpoint: str
 ) -> StreamingQuery:
-    """Running page counts per key; the newest counts replace the table at ``target``."""
-    def write(counts: DataFrame, batch_id: int) -> None:
-        counts.write.mode("overwrite").parquet(target)
-
+    """Running page counts per key, one folder of totals per micro-batch."""
     counts = pages.groupBy(*keys).agg(F.count("*").alias("n"))
+    write = lambda batch, n: ingest.append_batch(batch, log, n)
     return _run(counts, write, checkpoint, mode="complete")
 
 
+def progress_counts(spark: SparkSession, log: str) -> DataFrame:
+    """The totals of the newest micro-batch; older folders are not scanned."""
+    totals = spark.read.parquet(log)
+    newest = totals.agg(F.max("batch_id").alias("b")).scalar()
+    return totals.where(F.col("batch_id") == newest).drop("batch_id")
+
+
 def compact_log(spark: SparkSession, log: str, target: str) -> None:
     """Write the resolved card table to a new folder, to start a fresh log from."""
     upserted_cards(spark, log).write.mode("overwrite").parquet(target)
