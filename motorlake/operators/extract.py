@@ -195,10 +195,10 @@ def page_title(html: Column) -> Column:
     return F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
-def count_of(text: Column, marker: str) -> Column:
-    """How often ``marker`` occurs."""
-    shorter = F.replace(text, F.lit(marker), F.lit(""))
-    return ((F.length(text) - F.length(shorter)) / len(marker)).cast("int")
+def count_divs(html: Column, css: str) -> Column:
+    """How many ``div`` tags carry the class token ``css``, read off the opening tags."""
+    tag = rf"""(?i)<div\b[^>]*?\sclass\s*=\s*["'](?:[^"']*\s)?{css}(?:\s[^"']*)?["']"""
+    return F.regexp_count(html, F.lit(tag))
 
 
 def page_status(title: Column, containers: Column) -> Column:
@@ -210,14 +210,12 @@ def page_status(title: Column, containers: Column) -> Column:
     )
 
 
-def classify_pages(
-    pages: DataFrame, container: str = f'<div class="{K.CARD_CONTAINER}"'
-) -> DataFrame:
+def classify_pages(pages: DataFrame, container: str = K.CARD_CONTAINER) -> DataFrame:
     """(page_id, title, containers, status) without leaving the JVM."""
     html = F.col("html")
     read = pages.select(
         "page_id",
         strip(page_title(html)).alias("title"),
-        count_of(html, container).alias("containers"),
+        count_divs(html, container).alias("containers"),
     )
     return read.withColumn("status", page_status(F.col("title"), F.col("containers")))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from motorlake import constants as K
 from motorlake.functions import listing as L
 from motorlake.operators.search import junk_price_filter
+from motorlake.sources.tables import missing_to_null
 
 
 def rename_features(cars: DataFrame, with_target: bool = True) -> DataFrame:
@@ -71,9 +72,10 @@ def build_training_set(unified: DataFrame) -> DataFrame:
     """id, the features in model order, Price and Log_Price, for plausible prices.
 
     Map-only: every step is an expression, and the price bounds reach the scan. The id
-    stays beside the features, for a split that does not depend on row order.
+    stays beside the features, for a split that does not depend on row order. Cells that
+    spell "missing" count as missing whether or not the rows went through a text file.
     """
-    named = _with_all_features(rename_features(unified))
+    named = missing_to_null(_with_all_features(rename_features(unified)))
     priced = junk_price_filter(named.withColumn("Price", F.col("Price").try_cast("double")), "Price")
     typed = clean_all_numerics(priced).withColumns(
         {

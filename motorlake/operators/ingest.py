@@ -140,7 +140,7 @@ def distinct_car_ids(tags: DataFrame) -> DataFrame:
 def page_outcome(status: Column, has_table: Column) -> Column:
     return (
         F.when(status == 404, "gone")
-        .when(status != 200, "retry")
+        .when(status.isNull() | (status != 200), "retry")
         .when(~has_table, "no_table")
         .otherwise("ok")
     )
@@ -151,10 +151,20 @@ def outcome_summary(pages: DataFrame, status: str = "status", has_table: str = "
     return pages.groupBy(outcome).agg(F.count("*").alias("n"))
 
 
+# A plain decimal number; Spark's cast alone would also take ``NaN``, ``Infinity``, ``1d``.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+
+
+def _number(text: Column) -> Column:
+    bare = strip(text)
+    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
+
+
 def coerce_cars(raw: DataFrame) -> DataFrame:
     """Typed cars from raw text, with the reason a row is unusable in ``error``."""
-    price = strip(F.col("price")).try_cast("double")
-    year = strip(F.col("year")).try_cast("int")
+    price = _number(F.col("price"))
+    number = _number(F.col("year"))
+    year = F.when(number == F.floor(number), number.try_cast("int"))
     error = (
         F.when(F.col("id").isNull(), "id")
         .when(F.col("price").isNotNull() & price.isNull(), "price")

@@ -189,7 +189,7 @@ _CLASSIFIED = f"""
 
 def _classified(spark, sf):
     pages = spark.sql(_STATUS_PAGES, pages=adapters.table(spark, sf, "pages"))
-    return extract.classify_pages(pages, '<div class="ad"')
+    return extract.classify_pages(pages, "ad")
 
 
 @query("classify_pages", _CLASSIFIED)

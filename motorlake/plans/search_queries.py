@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from motorlake.functions import listing as L
 from motorlake.functions.sql import register_functions
-from motorlake.operators import facets, search
+from motorlake.operators import facets, features, search
 from motorlake.plans import adapters
 from motorlake.plans.registry import query, with_tables
 from motorlake.session import new_folder
@@ -369,23 +369,20 @@ _FEATURES = with_tables(
     + " select distinct field, value from ("
     + " union all ".join(
         f"select '{f}' as field, "
-        + (f'"{f}"' if f in ("Make", "Condition", "Fuel_Type", "Color") else "cast(null as varchar)")
+        + (f"coalesce(nullif(\"{f}\", ''), 'Unknown')" if f in ("Make", "Condition", "Fuel_Type", "Color") else "'Unknown'")
         + " as value from wide"
         for f in _OPTIONS
     )
     + ")",
 )
 def distinct_options(spark, sf):
-    from motorlake.operators.features import rename_features
-
-    return facets.distinct_options(rename_features(adapters.unified(spark, sf)))
+    rows = features.rename_features(adapters.unified(spark, sf))
+    return facets.distinct_options(features.normalize_categoricals(rows))
 
 
 @query("cascading_models", with_tables("cars", "select distinct brand as \"Make\", model as \"Model\" from cars"))
 def cascading_models(spark, sf):
-    from motorlake.operators.features import rename_features
-
-    return facets.cascading_models(rename_features(adapters.cars(spark, sf)))
+    return facets.cascading_models(features.rename_features(adapters.cars(spark, sf)))
 
 
 @query(
@@ -393,9 +390,7 @@ def cascading_models(spark, sf):
     with_tables("cars", "select distinct model as \"Model\" from cars where brand = '2-HIGH'"),
 )
 def models_of_make(spark, sf):
-    from motorlake.operators.features import rename_features
-
-    return facets.cascading_models(rename_features(adapters.cars(spark, sf)), "2-HIGH")
+    return facets.cascading_models(features.rename_features(adapters.cars(spark, sf)), "2-HIGH")
 
 
 @query(

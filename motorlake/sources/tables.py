@@ -75,6 +75,14 @@ def _tsv_options(multiline: bool) -> dict[str, object]:
     }
 
 
+def missing_to_null(rows: DataFrame) -> DataFrame:
+    """String cells that spell "missing" as nulls."""
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
+    return rows.withColumns(
+        {c: F.when(~F.col(f"`{c}`").isin(*K.NA_TOKENS), F.col(f"`{c}`")) for c in texts}
+    )
+
+
 def read_tsv(
     spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
 ) -> DataFrame:
@@ -83,13 +91,8 @@ def read_tsv(
     The schema is given, so no pass over the data infers it. ``multiline`` allows line
     breaks inside quotes, at the price that a file is read by one task.
     """
-    rows = spark.read.schema(schema).options(enforceSchema=False, **_tsv_options(multiline)).csv(path)
-    cleaned = {
-        f.name: F.when(~F.col(f"`{f.name}`").isin(*K.NA_TOKENS), F.col(f"`{f.name}`"))
-        for f in schema
-        if isinstance(f.dataType, T.StringType)
-    }
-    return rows.withColumns(cleaned)
+    reader = spark.read.schema(schema).options(enforceSchema=False, **_tsv_options(multiline))
+    return missing_to_null(reader.csv(path))
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:

@@ -122,7 +122,7 @@ def test_page_status(spark):
     got = extract.classify_pages(
         pages(
             spark,
-            f"<title>Cars</title>{box}{box}",
+            f"<title>Cars</title>{box}<DIV id=x CLASS='a gl b'><div class='glx'><div data-class='gl'>",
             "<title>Just a moment...</title>",
             f"<title>Security check</title>{box}",
             "<title>Cars</title>",

@@ -69,13 +69,16 @@ def test_tsv_round_trip(spark, tmp_path):
 
 
 def test_training_set_is_the_same_through_the_tsv(spark, sf, tmp_path):
-    unified = adapters.unified(spark, sf)
+    unified = adapters.unified(spark, sf).withColumn(
+        "Գույնը", F.expr("case cast(id as int) % 4 when 0 then 'None' when 1 then 'N/A' when 2 then '' else 'red' end")
+    )
     path = str(tmp_path / "combined")
     tables.export_training_tsv(unified, path)
     back = tables.read_tsv(spark, path, schemas.all_strings(unify.TRAINING_COLUMNS))
     direct, through = features.build_training_set(unified), features.build_training_set(back)
     assert through.columns == ["id", *K.FEATURE_ORDER, "Price", "Log_Price"]
     assert direct.exceptAll(through).count() == 0 and through.exceptAll(direct).count() == 0
+    assert {r[0] for r in direct.select("Color").distinct().collect()} == {"Unknown", "red"}
 
 
 def test_junk_price_bounds(spark):

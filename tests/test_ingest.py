@@ -91,8 +91,9 @@ def test_pending_counts_orphans_and_nulls(spark):
 
 
 def test_outcomes(spark):
-    rows = spark.createDataFrame([(404, True), (500, True), (200, False), (200, True), (200, True)], "status int, has_table boolean")
-    assert as_set(ingest.outcome_summary(rows)) == [("gone", 1), ("no_table", 1), ("ok", 2), ("retry", 1)]
+    pages = [(404, True), (500, True), (None, True), (200, False), (200, True), (200, True)]
+    rows = spark.createDataFrame(pages, "status int, has_table boolean")
+    assert as_set(ingest.outcome_summary(rows)) == [("gone", 1), ("no_table", 1), ("ok", 2), ("retry", 2)]
 
 
 def test_quarantine(spark):
@@ -103,6 +104,10 @@ def test_quarantine(spark):
     good, bad = ingest.quarantine_bad_rows(raw)
     assert as_set(good.select("id", "price", "year").where("id = '1'")) == [("1", 12500.0, 2015)]
     assert good.count() == 2
+    for text, price in ((" .5 ", 0.5), ("1e3", 1000.0), ("NaN", None), ("1d", None), ("Infinity", None), ("1 2", None)):
+        one = spark.createDataFrame([("1", text, "2015.0")], raw.schema)
+        assert ingest.coerce_cars(one).select("price", "year").first() == (price, 2015)
+    assert ingest.coerce_cars(spark.createDataFrame([("1", "1", "2015.5")], raw.schema)).first()["error"] == "year"
     assert sorted((r.id or "", r.error, r.price_raw) for r in bad.collect()) == [
         ("", "id", "1"), ("2", "price", "12,500"), ("3", "year", "1"), ("4", "price", ""),
     ]
