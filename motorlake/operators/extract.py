@@ -11,14 +11,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import motorlake
 from motorlake import constants as K
 from motorlake.functions import listing as L
 from motorlake.functions.text import strip
 from motorlake.sources import markup
 
+# The page functions travel to the workers inside the plan, with the helper they call:
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(motorlake)
+
 LINK_SCHEMA = (
     "page_id long, pos int, href string, has_img boolean, data_original string, src string, "
     "p_text string, l_text string, at_text string"
