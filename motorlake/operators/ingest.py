@@ -50,8 +50,10 @@ def upsert_latest(
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
-def upsert_latest_items(target: DataFrame, batch: DataFrame) -> DataFrame:
-    return upsert_latest(target, batch, ["id"], "ingest_seq")
+def upsert_latest_items(
+    target: DataFrame, batch: DataFrame, position: str = "ingest_seq"
+) -> DataFrame:
+    return upsert_latest(target, batch, ["id"], position)
 
 
 def upsert_latest_cars(

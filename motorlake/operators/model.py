@@ -50,7 +50,7 @@ def train_test_split(rows: DataFrame, share: float = K.TEST_SHARE) -> tuple[Data
 # ---------------------------------------------------------------- category encoding
 
 def category_stats(train: DataFrame, label: str = "Log_Price") -> DataFrame:
-    """(feature, category, n, s, n_0, s_0, ...): label count and sum, per fold as well.
+    """(feature, category, n, s, fold_n[], fold_s[]): label count and sum, all and per fold.
 
     One scan unrolls the categorical columns, and partial sums shrink the rows to one per
     category and task before the shuffle.
@@ -61,14 +61,13 @@ def category_stats(train: DataFrame, label: str = "Log_Price") -> DataFrame:
     rows = train.select(
         fold_of(F.col("id")).alias("fold"), F.col(label).alias("y"), F.inline(pairs)
     )
-    sums = [F.count("*").alias("n"), F.sum("y").alias("s")]
-    for k in range(FOLDS):
-        mine = F.col("fold") == k
-        sums += [
-            F.count_if(mine).alias(f"n_{k}"),
-            F.coalesce(F.sum(F.when(mine, F.col("y"))), F.lit(0.0)).alias(f"s_{k}"),
-        ]
-    return rows.groupBy("feature", "category").agg(*sums)
+    folds = [F.when(F.col("fold") == k, F.col("y")) for k in range(FOLDS)]
+    return rows.groupBy("feature", "category").agg(
+        F.count("*").alias("n"),
+        F.sum("y").alias("s"),
+        F.array(*[F.count(y) for y in folds]).alias("fold_n"),
+        F.array(*[F.coalesce(F.sum(y), F.lit(0.0)) for y in folds]).alias("fold_s"),
+    )
 
 
 def save_encoder(train: DataFrame, path: str, label: str = "Log_Price") -> None:
@@ -80,10 +79,8 @@ def save_encoder(train: DataFrame, path: str, label: str = "Log_Price") -> None:
 def _encoding(side: str, prior: Column, out_of_fold: bool) -> Column:
     n, s = F.col(f"{side}.n"), F.col(f"{side}.s")
     if out_of_fold:
-        for k in range(FOLDS):
-            mine = F.col("_fold") == k
-            n = n - F.when(mine, F.col(f"{side}.n_{k}")).otherwise(0)
-            s = s - F.when(mine, F.col(f"{side}.s_{k}")).otherwise(0.0)
+        n = n - F.get(F.col(f"{side}.fold_n"), F.col("_fold"))
+        s = s - F.get(F.col(f"{side}.fold_s"), F.col("_fold"))
     n, s = F.coalesce(n, F.lit(0)), F.coalesce(s, F.lit(0.0))
     return (s + F.lit(SMOOTHING) * prior) / (n + F.lit(SMOOTHING))
 
@@ -218,12 +215,12 @@ def group_mean_model(
 ) -> DataFrame:
     """Adds the mean log price of the row's group as ``log_prediction``, or the overall
     mean for a group never seen: the yardstick for the trees."""
-    overall = train.agg(F.avg("Log_Price").alias("m")).scalar()
+    groups = train.groupBy(*keys).agg(F.sum("Log_Price").alias("_s"), F.count("Log_Price").alias("_n"))
+    overall = groups.agg((F.sum("_s") / F.sum("_n")).alias("m")).scalar()
     if not keys:
         return rows.withColumn("log_prediction", overall)
-    means = train.groupBy(*keys).agg(F.avg("Log_Price").alias("_mean"))
     return (
-        rows.join(means, list(keys), "left")
-        .withColumn("log_prediction", F.coalesce("_mean", overall))
-        .drop("_mean")
+        rows.join(groups, list(keys), "left")
+        .withColumn("log_prediction", F.coalesce(F.col("_s") / F.col("_n"), overall))
+        .drop("_s", "_n")
     )

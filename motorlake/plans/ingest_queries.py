@@ -117,27 +117,31 @@ def cached_reference_data(spark, sf):
 
 # ---------------------------------------------------------------- keyed writes
 
+# Every line re-posts the listing of its order number, often several times.
+_POSTED = """
+  select cast(l_orderkey as varchar(20)) as id, 'N/A' as image_src,
+    concat('$', cast(cast(floor(l_extendedprice) as bigint) as varchar(20))) as p_text,
+    concat('2015 ', l_returnflag, ' ', l_linestatus) as l_text, 'N/A' as at_text, l_partkey as ingest_seq,
+    {pos} as pos
+  from {lineitem}
+"""
+
+
 @query(
     "upsert_latest_items",
     with_tables(
         "items",
-        "select id, l_text, p_text, ingest_seq from items where ingest_seq % 3 <> 0 and ingest_seq % 2 <> 0 "
-        "union all select id, l_text, '$2', ingest_seq * 3 + 2 from items where ingest_seq % 2 = 0",
+        "select id, l_text, p_text, ingest_seq from items where id not in (select id from newest) "
+        "union all select id, l_text, p_text, ingest_seq from newest",
+        newest="select * from (select *, row_number() over (partition by id order by pos desc) as rn from ("
+        + _POSTED.format(pos=f"row({_SEQ})", lineitem="lineitem")
+        + ") p) q where rn = 1",
     ),
 )
 def upsert_latest_items(spark, sf):
-    items = adapters.items(spark, sf)
-    version = F.explode(F.array(F.lit(1), F.lit(2))).alias("v")
-    batch = (
-        items.where("ingest_seq % 2 = 0")
-        .select("*", version)
-        .withColumns({
-            "p_text": F.concat(F.lit("$"), F.col("v").cast("string")),
-            "ingest_seq": F.col("ingest_seq") * 3 + F.col("v"),
-        })
-        .drop("v")
-    )
-    done = ingest.upsert_latest_items(items.where("ingest_seq % 3 <> 0"), batch)
+    text = _POSTED.replace("{pos}", f"struct({_SEQ})")
+    batch = spark.sql(text, lineitem=adapters.table(spark, sf, "lineitem"))
+    done = ingest.upsert_latest_items(adapters.items(spark, sf), batch, "pos")
     return done.select("id", "l_text", "p_text", "ingest_seq")
 
 
@@ -148,13 +152,11 @@ def upsert_latest_items(spark, sf):
         "select id, brand, price, strftime(scraped_at, '%Y-%m-%d') as day from cars "
         "where id not in (select id from batch) union all select id, brand, price, '2025-01-01' from batch",
         batch="select cast(l_orderkey as varchar) as id, 'B' as brand, l_extendedprice as price from "
-        f"(select *, row_number() over (partition by l_orderkey order by row({_SEQ}) desc) as rn from lineitem "
-        "where l_quantity < 20) t where rn = 1",
+        f"(select *, row_number() over (partition by l_orderkey order by row({_SEQ}) desc) as rn from lineitem) t where rn = 1",
     ),
 )
 def upsert_latest_cars(spark, sf):
-    lines = adapters.table(spark, sf, "lineitem").where("l_quantity < 20")
-    batch = lines.select(
+    batch = adapters.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("id"),
         F.lit("B").alias("brand"),
         F.lit(None).cast("string").alias("model"),
