@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from motorlake import constants as K
 from motorlake.functions import listing as L
+from motorlake.functions.rows import as_stored
 from motorlake.sources.tables import materialise
 
 FOLDS = 5
@@ -97,8 +98,8 @@ def encode_categoricals(rows: DataFrame, path: str, out_of_fold: bool) -> DataFr
     # Each feature covers every training row, so the smallest one gives the overall mean.
     flags = stats.where(F.col("feature") == "Taxed")
     prior = flags.agg((F.sum("s") / F.sum("n")).alias("prior")).scalar()
-    joined = rows.withColumns({"_prior": prior, "_fold": fold_of(F.col("id"))})
-    encoded = joined.alias("rows")
+    keyed = as_stored(rows).withColumns({"_prior": prior, "_fold": fold_of(F.col("id"))})
+    encoded = keyed.alias("rows")
     for name in K.CATEGORICALS:
         side = f"e_{name}"
         one = stats.where(F.col("feature") == name).drop("feature").alias(side)

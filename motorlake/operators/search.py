@@ -55,10 +55,9 @@ def _bounded(rows: DataFrame, value: Column, low, high) -> DataFrame:
 def _with_computed(rows: DataFrame, **values: Column) -> DataFrame:
     """Adds columns that later filters read as plain columns.
 
-    A filter on a computed column is rewritten to repeat its expression, so each bound
-    would run the regular expressions again. Going through a one-row ``inline`` computes
-    them once per row, inside the same codegen stage; filters on stored columns still move
-    below it and run first.
+    Each bound on a computed column would run the regular expressions again (see
+    ``as_stored``). Only the new columns go through ``inline`` here, so filters on stored
+    columns still move below it and run first.
     """
     packed = F.struct(*[value.alias(name) for name, value in values.items()])
     return rows.withColumn("_packed", packed).select("*", F.inline(F.array("_packed"))).drop("_packed")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlake import constants as K
+from motorlake.functions.rows import as_stored
 
 ITEMS = """
 select cast(p_partkey as varchar(20)) as id,
@@ -67,13 +68,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_of(part: DataFrame) -> DataFrame:
-    """Items whose columns operators see as plain columns, as from a stored table.
-
-    Without the one-row ``inline`` the optimizer would paste the text-building SQL into
-    every place a filter mentions a column.
-    """
-    rows = part.sparkSession.sql(ITEMS, part=part)
-    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+    return as_stored(part.sparkSession.sql(ITEMS, part=part))
 
 
 def cars(spark: SparkSession, sf_dir: str) -> DataFrame:

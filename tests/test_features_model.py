@@ -148,6 +148,7 @@ def test_encoding_against_brute_force(spark, tmp_path):
                 want = (sum(peers) + model.SMOOTHING * prior) / (len(peers) + model.SMOOTHING)
                 assert got[r["id"]][f"{c}_enc"] == pytest.approx(want)
     unseen = frame.withColumn("Make", F.lit("never"))
+    assert "NestedLoopJoin" not in plan_of(model.encode_categoricals(unseen, path, False))
     assert model.encode_categoricals(unseen, path, False).first()["Make_enc"] == pytest.approx(prior)
 
 
