@@ -89,21 +89,21 @@ def _encoding(side: str, prior: Column, out_of_fold: bool) -> Column:
 def encode_categoricals(rows: DataFrame, path: str, out_of_fold: bool) -> DataFrame:
     """Adds one ``<feature>_enc`` column per category.
 
-    Each feature joins its own stored statistics. Their file sizes are known, so Spark
-    broadcasts the small ones; a large one joins by key, where adaptive execution splits
-    a common category.
+    Each feature joins its own stored statistics, read as a table of its own so that Spark
+    knows its size: it broadcasts the small ones, and a large one joins by key, where
+    adaptive execution splits a common category.
     """
-    spark = rows.sparkSession
-    stats = spark.read.parquet(path)
+    def stats(name: str) -> DataFrame:
+        return rows.sparkSession.read.parquet(f"{path}/feature={name}")
+
     # Each feature covers every training row, so the smallest one gives the overall mean.
-    flags = stats.where(F.col("feature") == "Taxed")
-    prior = flags.agg((F.sum("s") / F.sum("n")).alias("prior")).scalar()
+    prior = stats("Taxed").agg((F.sum("s") / F.sum("n")).alias("prior")).scalar()
     keyed = as_stored(rows).withColumns({"_prior": prior, "_fold": fold_of(F.col("id"))})
     encoded = keyed.alias("rows")
     for name in K.CATEGORICALS:
         side = f"e_{name}"
-        one = stats.where(F.col("feature") == name).drop("feature").alias(side)
-        encoded = encoded.join(one, F.col(name) == F.col(f"{side}.category"), "left")
+        match = F.col(name) == F.col(f"{side}.category")
+        encoded = encoded.join(stats(name).alias(side), match, "left")
     return encoded.select(
         "rows.*",
         *[

@@ -403,9 +403,9 @@ def search_request_filter(spark, sf):
 # ---------------------------------------------------------------- streams
 
 def _stream(spark, sf, name):
-    file = f"{name}.parquet"
+    # As a pattern the path may be one file or a folder of files; plain, only a folder.
     schema = adapters.table(spark, sf, name).schema
-    return landing.read_landing(spark, sf, schema, files=file)
+    return landing.read_landing(spark, f"{sf}/{name}.parque[t]", schema)
 
 
 @query(

@@ -18,16 +18,10 @@ from motorlake.operators import extract, ingest
 
 
 def read_landing(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    files: str | None = None,
-    files_per_batch: int | None = None,
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """New parquet files of a folder as a stream; ``files`` is a file name pattern."""
+    """New parquet files of a folder (or of all that match a path pattern) as a stream."""
     reader = spark.readStream.schema(schema)
-    if files:
-        reader = reader.option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)

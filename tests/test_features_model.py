@@ -135,6 +135,7 @@ def test_encoding_against_brute_force(spark, tmp_path):
     frame, rows = feature_rows(spark)
     path = str(tmp_path / "enc")
     model.save_encoder(frame, path)
+    assert plan_of(model.encode_categoricals(frame, path, True)).count("+- BroadcastHashJoin") > 0
     folds = dict(frame.select("id", model.fold_of(F.col("id")).alias("f")).collect())
     prior = sum(r["Log_Price"] for r in rows) / len(rows)
     for out_of_fold in (True, False):
