@@ -87,6 +87,48 @@ def insert_ignore_tags(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(insert_ignore(target, batch, ["car_id", "attribute"], "seq"))
 
 
+def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def _write_buckets(rows: DataFrame, path: str) -> None:
+    """Replace the bucket folders these rows belong to, and no others.
+
+    Rebalancing puts a bucket into one task, and splits one that grew too large.
+    """
+    (
+        rows.hint("rebalance", "bucket")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket").parquet(path)
+    )
+
+
+def store_in_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a keyed table in folders by a hash of its key, for ``upsert_in_place``.
+
+    Keep the bucket count for the life of the table; a bucket of about 1 GB is a good size.
+    """
+    _write_buckets(_bucketed(rows, keys, buckets), path)
+
+
+def upsert_in_place(
+    path: str, batch: DataFrame, keys: Sequence[str], position: str, buckets: int
+) -> None:
+    """``upsert_latest`` on a stored table, at the cost of the buckets the batch touches.
+
+    Spark writes the new folders aside and moves them when the job commits, so the buckets
+    may be read while they are replaced. A lost executor only costs its tasks; running the
+    same batch again gives the same table. A driver lost while folders move can leave a
+    bucket without its files: where that must not happen, write whole new versions or use
+    the batch log. The batch is read more than once: store it first if it is dear to compute.
+    """
+    spark = batch.sparkSession
+    stored = spark.read.parquet(path)
+    newest = _bucketed(last_wins(batch, keys, F.col(position)), keys, buckets)
+    touched = stored.join(newest.select("bucket").distinct(), "bucket", "left_semi")
+    _write_buckets(upsert_latest(touched.select(*stored.columns), newest, keys, position), path)
+
+
 def null_key_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What the conflict rules leave out, for the quarantine table."""
     return rows.where(" OR ".join(f"`{k}` IS NULL" for k in keys))

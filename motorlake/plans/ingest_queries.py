@@ -127,24 +127,35 @@ _POSTED = """
 """
 
 
-@query(
-    "upsert_latest_items",
-    with_tables(
-        "items",
-        "select id, l_text, p_text, ingest_seq from items where id not in (select id from newest) "
-        "union all select id, l_text, p_text, ingest_seq from newest",
-        newest="select * from (select *, row_number() over (partition by id order by pos desc) as rn from ("
-        + _POSTED.format(pos=f"row({_SEQ})", lineitem="lineitem")
-        + ") p) q where rn = 1",
-    ),
+_UPSERTED = with_tables(
+    "items",
+    "select id, l_text, p_text, ingest_seq from items where id not in (select id from newest) "
+    "union all select id, l_text, p_text, ingest_seq from newest",
+    newest="select * from (select *, row_number() over (partition by id order by pos desc) as rn from ("
+    + _POSTED.format(pos=f"row({_SEQ})", lineitem="lineitem")
+    + ") p) q where rn = 1",
 )
-def upsert_latest_items(spark, sf):
+
+
+def _posted(spark, sf):
     text = _POSTED.replace("{pos}", f"struct({_SEQ})")
-    batch = spark.sql(text, lineitem=adapters.table(spark, sf, "lineitem"))
-    done = ingest.upsert_latest_items(adapters.items(spark, sf), batch, "pos")
+    return spark.sql(text, lineitem=adapters.table(spark, sf, "lineitem"))
+
+
+@query("upsert_latest_items", _UPSERTED)
+def upsert_latest_items(spark, sf):
+    done = ingest.upsert_latest_items(adapters.items(spark, sf), _posted(spark, sf), "pos")
     return done.select("id", "l_text", "p_text", "ingest_seq")
 
 
+@query("upsert_in_place", _UPSERTED)
+def upsert_in_place(spark, sf):
+    path = new_folder(spark, "items-buckets")
+    ingest.store_in_buckets(adapters.items(spark, sf), path, ["id"], 16)
+    ingest.upsert_in_place(path, _posted(spark, sf), ["id"], "pos", 16)
+    return spark.read.parquet(path).select("id", "l_text", "p_text", "ingest_seq")
+
+
 @query(
     "upsert_latest_cars",
     with_tables(

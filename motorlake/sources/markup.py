@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -87,6 +88,7 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("", {})
         self.open = [self.root]
+        self.open_names: Counter[str] = Counter()
         self.in_text = False
 
     def handle_starttag(self, tag, attrs):
@@ -95,20 +97,23 @@ class _Builder(HTMLParser):
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.open_names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self.open.pop()
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         # An end tag closes up to the nearest open element of its name; a stray one is
         # ignored. Nothing else closes an element.
         self.in_text = False
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
+        if not self.open_names[tag]:
+            return
+        closed = None
+        while closed != tag:
+            closed = self.open.pop().tag
+            self.open_names[closed] -= 1
 
     def handle_data(self, data):
         # The parser may hand over one text node in pieces.

@@ -26,6 +26,8 @@ def test_tree_rules():
     assert markup.parse(None).text() == ""
     deep = markup.parse("<div>" * 5000 + "x")
     assert deep.text() == "x" and sum(1 for _ in deep.all("div")) == 5000
+    assert markup.parse("<b>" * 50_000 + "</i>" * 50_000 + "x").text() == "x"
+    assert [e.tag for e in markup.parse("<p><br/><img/><i/>a</p><u>b</u>").walk()] == ["p", "br", "img", "i", "u"]
 
 
 def test_category_cards(spark):

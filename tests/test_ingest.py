@@ -152,3 +152,21 @@ def test_batch_log_replay(spark, tmp_path):
         got = ingest.current_items(spark.read.parquet(log))
         assert as_set(got.select("id", "p_text")) == want
         ingest.append_batch(items(spark, ("1", "$2", "a", 2), ("2", "$3", "b", 3)), log, 1)
+
+
+def test_upsert_in_place_touches_only_its_buckets(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = [(str(i), f"${i}", "old", i) for i in range(200)]
+    ingest.store_in_buckets(items(spark, *rows), str(path), ["id"], 32)
+
+    def files():
+        return {p.relative_to(path) for p in path.rglob("*.parquet")}
+
+    before = files()
+    batch = items(spark, ("7", "$a", "new", 300), ("7", "$b", "new", 301), ("new", "$c", "new", 302))
+    for _ in range(2):
+        ingest.upsert_in_place(str(path), batch, ["id"], "ingest_seq", 32)
+        got = {r["id"]: r["p_text"] for r in spark.read.parquet(str(path)).collect()}
+        assert got == {**{k: p for k, p, _, _ in rows}, "7": "$b", "new": "$c"}
+    gone = {f.parts[0] for f in before - files()}
+    assert 1 <= len(gone) <= 2
