@@ -280,13 +280,16 @@ def crawl_frontier(ranges: DataFrame, pages: str = "pages", block: int = 10_000)
     """One row per page to fetch from rows (range_lo, range_hi, pages).
 
     Pages are unrolled in two steps with a shuffle between, so a range with very many
-    pages becomes neither one giant array nor one task.
+    pages becomes neither one giant array nor one task. The shuffle has a fixed width:
+    adaptive execution would merge its few bytes into one task, which then had to produce
+    every page.
     """
+    width = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last_block = F.floor((F.col(pages) - 1) / block)
     blocks = (
         ranges.where(F.col(pages) >= 1)
         .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-        .repartition("range_lo", "range_hi", "_block")
+        .repartition(width, "range_lo", "range_hi", "_block")
     )
     start = F.col("_block") * block + 1
     end = F.least(F.col(pages).cast("bigint"), (F.col("_block") + 1) * block)
