@@ -113,12 +113,51 @@ def matching_items(
     return _numeric_filters(rows, params, rates)
 
 
-def paginate(rows: DataFrame, page: int, size: int = K.PAGE_SIZE) -> DataFrame:
-    """Page ``page`` in arrival order. Deep paging should use ``page_after``."""
+SHALLOW = 100_000
+_BINS = 1_000
+
+
+def paginate(
+    rows: DataFrame, page: int, size: int = K.PAGE_SIZE, shallow: int = SHALLOW
+) -> DataFrame:
+    """Page ``page`` in arrival order.
+
+    An offset makes every task keep, and the driver merge, all rows before the page. That
+    is cheap for the first ``shallow`` rows. For a page beyond them, counts per range of
+    ``ingest_seq`` first tell where to start, so the same holds at any depth. To walk
+    through all results, ``page_after`` is cheaper still.
+    """
     start = max((page - 1) * size, 0)
+    if start > shallow:
+        first, skipped = _start_near(rows, start, shallow)
+        rows, start = rows.where(F.col("ingest_seq") >= first), start - skipped
     return rows.orderBy("ingest_seq", "id").offset(start).limit(size)
 
 
+def _start_near(rows: DataFrame, start: int, shallow: int) -> tuple[int, int]:
+    """(first, skipped): ``skipped`` rows have a smaller ``ingest_seq`` than ``first``, and
+    at most ``shallow`` more (or those of one single value) lie before row ``start``."""
+    seq = F.col("ingest_seq")
+    first, last = rows.agg(F.min(seq), F.max(seq)).first()
+    skipped = 0
+    if first is None:
+        return 0, start
+    while start - skipped > shallow:
+        width = -(-(last - first + 1) // _BINS)
+        inside = rows.where(seq.between(first, last))
+        bins = inside.groupBy(F.floor((seq - first) / width).alias("bin")).count()
+        for bin_, count in bins.orderBy("bin").collect():
+            if skipped + count > start:
+                first, last = first + bin_ * width, min(first + (bin_ + 1) * width - 1, last)
+                break
+            skipped += count
+        else:
+            return last + 1, start
+        if width == 1:
+            break
+    return first, skipped
+
+
 def page_after(
     rows: DataFrame, last_seq: int, last_id: str = "", size: int = K.PAGE_SIZE
 ) -> DataFrame:

@@ -242,6 +242,11 @@ def paginate(spark, sf):
     return _raw(search.paginate(adapters.items(spark, sf), 3))
 
 
+@query("paginate_deep", with_tables("items", f"select {_RAW} from items order by ingest_seq, id limit 24 offset 120"))
+def paginate_deep(spark, sf):
+    return _raw(search.paginate(adapters.items(spark, sf), 6, shallow=10))
+
+
 @query(
     "page_after",
     with_tables("items", f"select {_RAW} from items where ingest_seq > 47 order by ingest_seq, id limit 24"),

@@ -40,10 +40,10 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 
-def ensure_listing_tables(spark: SparkSession) -> None:
-    """The three stored tables: items, cars, tags."""
+def ensure_listing_tables(spark: SparkSession, root: str | None = None) -> None:
+    """The three stored tables items, cars and tags, below ``root`` or in the warehouse."""
     for name, schema in (("items", schemas.ITEMS), ("cars", schemas.CARS), ("tags", schemas.TAGS)):
-        ensure_table(spark, name, schema)
+        ensure_table(spark, name, schema, f"{root}/{name}" if root else None)
 
 
 def write_replace(rows: DataFrame, target: str) -> None:

@@ -170,3 +170,20 @@ def test_upsert_in_place_touches_only_its_buckets(spark, tmp_path):
         assert got == {**{k: p for k, p, _, _ in rows}, "7": "$b", "new": "$c"}
     gone = {f.parts[0] for f in before - files()}
     assert 1 <= len(gone) <= 2
+
+
+def test_listing_tables_are_created_once(spark, tmp_path):
+    from motorlake.sources import tables
+
+    try:
+        for _ in range(2):
+            tables.ensure_listing_tables(spark, str(tmp_path))
+            items(spark, ("1", "$1", "a", 1)).write.insertInto("items")
+        assert tables.scan_table(spark, "items").count() == 2
+        assert tables.scan_table(spark, "cars").schema["taxed"].dataType.simpleString() == "boolean"
+        assert tables.scan_table(spark, "tags").count() == 0
+        tables.write_replace(items(spark, ("2", "$1", "a", 1)), str(tmp_path / "again"))
+        assert tables.scan_table(spark, str(tmp_path / "again")).first()["id"] == "2"
+    finally:
+        for name in ("items", "cars", "tags"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

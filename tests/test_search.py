@@ -57,6 +57,16 @@ def test_pages_cover_the_matches_in_order(items):
     assert ids(search.page_after(rows, last["ingest_seq"], last["id"])) == want[24:48]
 
 
+def test_deep_pages_are_the_same(spark):
+    seqs = [i * i for i in range(200)] + [10_000] * 30 + [10**12]
+    rows = spark.createDataFrame([(s, f"{i:04d}") for i, s in enumerate(seqs)], "ingest_seq long, id string")
+    for page in (2, 9, 20, 46, 47, 48, 10**6):
+        want = [tuple(r) for r in search.paginate(rows, page, 5).collect()]
+        got = [tuple(r) for r in search.paginate(rows, page, 5, shallow=3).collect()]
+        assert got == want, page
+    assert search.paginate(rows.where("false"), 10, 5, shallow=3).collect() == []
+
+
 def test_has_more(spark):
     rows = spark.createDataFrame([(0,), (23,), (24,), (48,), (49,)], "n long")
     first = [r[0] for r in rows.select(search.has_more(F.col("n"), 1)).collect()]
