@@ -47,8 +47,10 @@ def unpivot_tags(wide: DataFrame) -> DataFrame:
 
 
 def unify_left_join(cars: DataFrame, wide: DataFrame) -> DataFrame:
-    """Cars with their attributes; an attribute named like a car column gets ``tag_``."""
-    clashes = {c: f"tag_{c}" for c in wide.columns if c in cars.columns}
+    """Cars with their attributes; an attribute named like a car column, in any case as
+    Spark compares names, gets ``tag_``."""
+    taken = {c.lower() for c in cars.columns}
+    clashes = {c: f"tag_{c}" for c in wide.columns if c.lower() in taken}
     side = wide.withColumnsRenamed(clashes)
     return cars.join(side, cars["id"] == side["car_id"], "left").drop("car_id")
 

@@ -46,10 +46,11 @@ def test_pivot_round_trip(spark, sf):
 
 def test_left_join_and_clash(spark):
     cars = spark.createDataFrame([("1", "Kia"), ("2", "BMW")], "id string, brand string")
-    wide = unify.pivot_tags(tag_rows(spark, ("1", "brand", "x", 1), ("9", "brand", "y", 2)))
-    got = unify.unify_left_join(cars, wide)
-    assert got.columns == ["id", "brand", "tag_brand"]
-    assert sorted(tuple(r) for r in got.collect()) == [("1", "Kia", "x"), ("2", "BMW", None)]
+    for name in ("brand", "Brand"):
+        wide = unify.pivot_tags(tag_rows(spark, ("1", name, "x", 1), ("9", name, "y", 2)))
+        got = unify.unify_left_join(cars, wide)
+        assert got.columns == ["id", "brand", f"tag_{name}"]
+        assert sorted(tuple(r) for r in got.select("*").collect()) == [("1", "Kia", "x"), ("2", "BMW", None)]
     orphans = unify.tags_fk_check(tag_rows(spark, ("9", "a", "y", 1), ("9", "b", "y", 2), ("1", "a", "z", 3)), cars)
     assert [tuple(r) for r in orphans.collect()] == [("9", 2)]
 
