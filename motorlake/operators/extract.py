@@ -25,26 +25,28 @@ from motorlake.sources import markup
 # executors need no copy of this package.
 cloudpickle.register_pickle_by_value(motorlake)
 
-LINK_SCHEMA = (
-    "page_id long, pos int, href string, has_img boolean, data_original string, src string, "
+# What each page function yields, behind the key of the page.
+LINK_COLUMNS = (
+    "pos int, href string, data_original string, src string, "
     "p_text string, l_text string, at_text string"
 )
-OFFER_SCHEMA = (
-    "page_id long, pos int, id string, brand string, model string, price string, "
+OFFER_COLUMNS = (
+    "pos int, id string, brand string, model string, price string, "
     "taxed boolean, year string, price_text string, error string"
 )
-TAG_SCHEMA = "car_id string, pos int, attribute string, value string"
+TAG_COLUMNS = "pos int, attribute string, value string"
 
 
 PAGES_PER_OUTPUT = 256
 
 
-def _map_pages(pages: DataFrame, key: str, rows_of, schema: str) -> DataFrame:
+def _map_pages(pages: DataFrame, key: str, rows_of, columns: str) -> DataFrame:
     """Run ``rows_of(html)`` on every page; its rows get the page key in front.
 
     Output leaves the worker every few pages, so memory follows one slice of pages, not a
     whole input batch.
     """
+    schema = f"{key} {pages.schema[key].dataType.simpleString()}, {columns}"
     names = [field.split()[0] for field in schema.split(", ")]
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,7 +75,6 @@ def _link_rows(html: str, container: str = K.CARD_CONTAINER):
             yield (
                 pos,
                 link.attrs.get("href"),
-                img is not None,
                 img.attrs.get("data-original") if img else None,
                 img.attrs.get("src") if img else None,
                 *[t.text() if t else K.MISSING_TEXT for t in texts],
@@ -84,7 +85,7 @@ def _link_rows(html: str, container: str = K.CARD_CONTAINER):
 def container_links(pages: DataFrame) -> DataFrame:
     """Every link inside a card container, unparsed."""
     return _map_pages(
-        pages.where(F.col("html").contains(K.CARD_CONTAINER)), "page_id", _link_rows, LINK_SCHEMA
+        pages.where(F.col("html").contains(K.CARD_CONTAINER)), "page_id", _link_rows, LINK_COLUMNS
     )
 
 
@@ -140,7 +141,7 @@ def extract_offer_cards(pages: DataFrame) -> DataFrame:
     quarantine table, and does not cost the rest of its page.
     """
     candidates = pages.where(F.col("html").contains(K.OFFER_LINK))
-    cards = _map_pages(candidates, "page_id", _offer_rows, OFFER_SCHEMA)
+    cards = _map_pages(candidates, "page_id", _offer_rows, OFFER_COLUMNS)
     price_text = F.col("price_text")
     return cards.select(
         "page_id", "pos", "id", "brand", "model", "price",
@@ -176,7 +177,7 @@ def extract_detail_tags(pages: DataFrame) -> DataFrame:
     candidates = pages
     for word in K.DETAIL_TABLE.split():
         candidates = candidates.where(F.col("html").contains(word))
-    return _map_pages(candidates, "car_id", _tag_rows, TAG_SCHEMA)
+    return _map_pages(candidates, "car_id", _tag_rows, TAG_COLUMNS)
 
 
 def has_detail_table(html: Column) -> Column:

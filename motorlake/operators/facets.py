@@ -12,6 +12,9 @@ from motorlake.functions.listing import parse_title
 
 
 def _makes_and_models(items: DataFrame) -> DataFrame:
+    """From the stored columns of typed items where they exist, else from the title."""
+    if {"make", "model"} <= set(items.columns):
+        return items.select(F.coalesce("make", F.lit(K.UNKNOWN_MAKE)).alias("make"), "model")
     title = parse_title(F.col("l_text"))
     return items.select(title["make"].alias("make"), title["model"].alias("model"))
 

@@ -75,7 +75,8 @@ def insert_ignore(
     """Rows of ``batch`` to append: the first per key whose key the target lacks.
 
     The target is first cut down to the keys of the batch, which needs no shuffle of the
-    target as long as Spark can broadcast those keys.
+    target as long as Spark can broadcast those keys. The batch is read more than once:
+    store it first if it is dear to compute.
     """
     fresh = first_wins(batch, keys, F.col(order))
     taken = target.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")

@@ -13,7 +13,8 @@ from motorlake.sources.tables import materialise
 def items_from_pages(pages: DataFrame) -> DataFrame:
     """Category pages (page_id, html) -> items, the last card per id.
 
-    ``ingest_seq`` is the order of arrival: the page number, then the place on the page.
+    ``ingest_seq`` is the order of arrival: ``page_id``, which counts fetched pages over
+    all runs, then the place on the page.
     """
     cards = extract.extract_gl_cards(pages).withColumn(
         "ingest_seq", F.col("page_id") * 1_000_000 + F.col("pos")

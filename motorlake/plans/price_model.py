@@ -7,16 +7,46 @@ from pyspark.sql import functions as F
 
 from motorlake import constants as K
 from motorlake.operators import extract, features, ingest, model, unify
+from motorlake.session import new_folder
+from motorlake.sources.tables import materialise, write_replace
 
 
-def cars_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Search pages -> (cars, quarantine); the last card per id stays."""
+def offer_cards(pages: DataFrame) -> DataFrame:
+    """Typed cards of search pages; ``error`` tells why a card cannot be used."""
     cards = extract.extract_offer_cards(pages).withColumnRenamed("error", "card_error")
     typed = ingest.coerce_cars(cards).withColumn("error", F.coalesce("card_error", "error"))
-    bad = typed.where("error IS NOT NULL").drop("card_error")
-    good = typed.where("error IS NULL").drop("error", "card_error", "price_raw", "year_raw")
+    return typed.drop("card_error")
+
+
+def split_offer_cards(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cars, quarantine); the last usable card per id stays."""
+    good = cards.where("error IS NULL").drop("error", "price_raw", "year_raw")
     last = ingest.last_wins(good, ["id"], F.struct("page_id", "pos")).drop("page_id", "pos")
-    return ingest.default_timestamp(last), bad
+    return ingest.default_timestamp(last), cards.where("error IS NOT NULL")
+
+
+def cars_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_offer_cards(offer_cards(pages))
+
+
+def land_search_pages(pages: DataFrame, cars: DataFrame, path: str) -> DataFrame:
+    """Merge the cars of new search pages into ``cars``, store them at ``path`` (a new
+    folder), and return the quarantine. The parsed cards are stored first, so that pages
+    are parsed once."""
+    cards = materialise(offer_cards(pages), new_folder(pages.sparkSession, "offer-cards"))
+    good, bad = split_offer_cards(cards)
+    write_replace(ingest.upsert_latest(cars, good, ["id"], "scraped_at"), path)
+    return bad
+
+
+def land_detail_pages(pages: DataFrame, path: str) -> None:
+    """Append the new tags of landed detail pages to the tags stored at ``path``; a value
+    already there stays. Running it again for the same pages appends nothing."""
+    spark = pages.sparkSession
+    batch = materialise(tags_from_pages(pages), new_folder(spark, "detail-tags"))
+    stored = spark.read.parquet(path)
+    fresh = ingest.insert_ignore(stored, batch, ["car_id", "attribute"], "seq")
+    fresh.select(*stored.columns).write.mode("append").parquet(path)
 
 
 def tags_from_pages(pages: DataFrame) -> DataFrame:

@@ -54,6 +54,20 @@ def write_replace(rows: DataFrame, target: str) -> None:
         rows.write.mode("overwrite").format("parquet").saveAsTable(target)
 
 
+def write_bucketed(
+    rows: DataFrame, name: str, key: str, buckets: int, location: str | None = None
+) -> None:
+    """Store a catalog table bucketed by ``key``.
+
+    Cars bucketed by id and tags by car id, with the same number of buckets, are pivoted
+    and joined without any shuffle.
+    """
+    place = {"path": location} if location else {}
+    rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(
+        name, format="parquet", **place
+    )
+
+
 def materialise(rows: DataFrame, path: str) -> DataFrame:
     """Write rows to the shared folder and read them back: cuts the lineage and gives
     the planner true sizes."""

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
-from motorlake.operators import extract
-from motorlake.plans import listings, price_model
+from motorlake import schemas
+from motorlake.operators import extract, ingest, search
+from motorlake.plans import adapters, listings, price_model
 from motorlake.sources import markup
 
 
@@ -139,3 +140,52 @@ def test_page_status(spark):
 def test_whole_pages_are_read(spark):
     far = "<p>" + "x" * 3_000_000 + '</p><div class="gl"><a href="/item/1">a</a></div>'
     assert rows(extract.extract_gl_cards(pages(spark, far)), "id") == [("1",)]
+
+
+def test_crawl_jobs_end_to_end(spark, sf, tmp_path):
+    cars = adapters.cars(spark, sf)
+    old = spark.createDataFrame([], schemas.CARS)
+    first, second, tag_path = (str(tmp_path / n) for n in ("cars-1", "cars-2", "tags"))
+
+    bad = price_model.land_search_pages(adapters.offer_pages(cars), old, first)
+    stored = spark.read.parquet(first)
+    want = cars.select("id", "brand", "model", "price", "year")
+    assert stored.select(*want.columns).exceptAll(want).count() == 0 and stored.count() == cars.count()
+    assert bad.count() == cars.where("cast(id as int) % 5 = 0").count()
+
+    raise_price = cars.where("brand = '2-HIGH'").withColumn("price", F.lit(5.0))
+    price_model.land_search_pages(adapters.offer_pages(raise_price), stored, second)
+    newer = spark.read.parquet(second)
+    assert newer.count() == cars.count()
+    assert newer.where("price = 5.0").count() == raise_price.count()
+    assert newer.where("price = 5.0").agg(F.min("scraped_at")).first()[0] >= stored.agg(F.max("scraped_at")).first()[0]
+
+    spark.createDataFrame([], schemas.TAGS).write.parquet(tag_path)
+    details = adapters.detail_pages(cars)
+    for _ in range(2):
+        price_model.land_detail_pages(details, tag_path)
+        tags = spark.read.parquet(tag_path)
+        assert tags.groupBy("car_id", "attribute").count().where("count > 1").count() == 0
+        assert rows(tags.where("attribute = 'Brand' and value = 'later'"), "value") == []
+    pending = ingest.pending_ids(cars, tags)
+    assert pending.count() == cars.where(
+        "cast(id as int) % 9 = 0 or cast(id as int) % 10 = 0 or cast(id as int) % 11 = 0"
+    ).count()
+
+
+def test_listing_jobs_end_to_end(spark, sf, tmp_path):
+    listed = adapters.items(spark, sf)
+    one, two = str(tmp_path / "v1"), str(tmp_path / "v2")
+    empty = spark.createDataFrame([], schemas.ITEMS)
+    listings.land_category_pages(adapters.category_pages(listed), empty, one)
+    first = spark.read.parquet(one)
+    assert first.count() == listed.count()
+    card = '<div class="gl"><a href="/item/3"><div class="l">2020 Kia Rio, 1.6</div><div class="p">$10</div></a></div>'
+    later = spark.createDataFrame([(10**6, card)], "page_id long, html string")
+    listings.land_category_pages(later, first.select(*schemas.ITEMS.names), two)
+    second = spark.read.parquet(two)
+    assert second.count() == listed.count()
+    assert rows(second.where("id = '3'"), "make", "model", "spec", "price_value") == [("Kia", "Rio", "1.6", 10.0)]
+    # A replaced listing moves to the end of the arrival order.
+    last = search.paginate(second, -(-second.count() // 24)).collect()[-1]
+    assert last["id"] == "3"

@@ -55,6 +55,23 @@ def test_left_join_and_clash(spark):
     assert [tuple(r) for r in orphans.collect()] == [("9", 2)]
 
 
+def test_bucketed_tables_unify_without_a_shuffle(spark, sf, tmp_path):
+    cars, tags = adapters.cars(spark, sf), adapters.first_tags(spark, sf)
+    try:
+        tables.write_bucketed(cars, "b_cars", "id", 4, str(tmp_path / "cars"))
+        tables.write_bucketed(tags, "b_tags", "car_id", 4, str(tmp_path / "tags"))
+        names = list(K.ATTRIBUTE_FEATURES)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        unified = unify.unify(spark.table("b_cars"), spark.table("b_tags"), names)
+        assert "Exchange" not in plan_of(unified)
+        want = unify.unify(cars, tags, names)
+        assert unified.exceptAll(want).count() == 0 and unified.count() == want.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS b_cars")
+        spark.sql("DROP TABLE IF EXISTS b_tags")
+
+
 def test_tsv_round_trip(spark, tmp_path):
     rows = spark.createDataFrame(
         [("1", ' 17" ', "a\tb"), ("2", "N/A", None), ("3", "", "null"), ("4", "x 'y'", "Null")], "id string, a string, b string"

@@ -148,6 +148,13 @@ def test_facet_children_add_up(items):
         assert names == sorted(names) and t["part"] == 0
 
 
+def test_facets_of_typed_items_read_two_columns(items, stored):
+    want = sorted(tuple(r) for r in facets.make_model_counts(items).collect())
+    counts = facets.make_model_counts(stored)
+    assert sorted(tuple(r) for r in counts.collect()) == want
+    assert "ReadSchema: struct<make:string,model:string>" in plan_of(counts)
+
+
 def test_wide_make_is_dealt_over_parts_without_loss(items):
     whole = {(t["name"], m["name"]): m["count"] for t in facets.facet_tree(items).collect() for m in t["models"]}
     parts = facets.facet_tree(items, models_per_record=3).collect()
