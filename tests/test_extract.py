@@ -1,3 +1,5 @@
+import html
+
 from pyspark.sql import functions as F
 
 from motorlake import schemas
@@ -189,3 +191,23 @@ def test_listing_jobs_end_to_end(spark, sf, tmp_path):
     # A replaced listing moves to the end of the arrival order.
     last = search.paginate(second, -(-second.count() // 24)).collect()[-1]
     assert last["id"] == "3"
+
+
+def test_flat_links_agree_with_the_tree(spark, sf):
+    given = adapters.table(spark, sf, "pages")
+    flat = sorted(rows(extract.flat_links(given, "<nav>", "</nav>"), "page_id", "pos", "href"))
+    tree = [
+        (page["page_id"], pos, link.attrs["href"])
+        for page in given.collect()
+        for pos, link in enumerate(markup.parse(page["html"]).first("nav").all("a"))
+    ]
+    assert flat == sorted(tree) and len(flat) > 0
+
+
+def test_given_pages_parse_to_their_titles(spark, sf):
+    given = adapters.table(spark, sf, "pages")
+    titles = dict(rows(extract.classify_pages(given, "ad"), "page_id", "title"))
+    for page in given.collect():
+        root = markup.parse(page["html"])
+        assert root.first("title").text() == html.unescape(titles[page["page_id"]])
+        assert sum(1 for _ in root.all("div", "ad")) == 1
