@@ -12,9 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from motorlake import constants as K
-from motorlake.functions.text import BLANK_CLASS, BLANKS, strip
+from motorlake.functions.text import BLANK_CLASS, BLANKS, strip, to_number
 
-_MILEAGE = rf"(?i)([0-9,]+){BLANK_CLASS}*(km|miles|mi)"
+MILEAGE = rf"(?i)([\p{{Nd}},]+){BLANK_CLASS}*(km|miles|mi)"
+PRICE_DIGITS = r"(\p{Nd}+)"
 
 
 # ---------------------------------------------------------------- price
@@ -25,8 +26,8 @@ def _without_commas(p_text: Column) -> Column:
 
 def _stated_price(p_text: Column) -> Column:
     """First run of digits as a number; null when the text states no price."""
-    digits = F.regexp_extract(_without_commas(p_text), r"([0-9]+)", 1)
-    return F.when(~p_text.contains(K.MISSING_TEXT), digits.try_cast("double"))
+    digits = F.regexp_extract(_without_commas(p_text), PRICE_DIGITS, 1)
+    return F.when(~p_text.contains(K.MISSING_TEXT), to_number(digits))
 
 
 def price_value(p_text: Column) -> Column:
@@ -81,8 +82,8 @@ def price_usd(p_text: Column, rates: Mapping[str, float] = K.DEFAULT_RATES) -> C
 
 def mileage_km(at_text: Column) -> Column:
     """Kilometres as a whole number; 0 when the text states none."""
-    hit = F.regexp_extract(at_text, _MILEAGE, 0)
-    number = F.translate(hit, "kmilesKMILES," + BLANKS, "").try_cast("double")
+    hit = F.regexp_extract(at_text, MILEAGE, 0)
+    number = to_number(F.translate(hit, "kmilesKMILES," + BLANKS, ""))
     km = F.when(F.lower(hit).contains("mi"), number * K.MILE_IN_KM).otherwise(number)
     return F.coalesce(km.try_cast("bigint"), F.lit(0).cast("bigint"))
 
@@ -121,7 +122,7 @@ def parse_title(l_text: Column) -> Column:
     words = F.split(strip(F.get(parts, F.lit(0))), " ")
     first = F.get(words, F.lit(0))
     named = F.coalesce(F.size(words) >= 2, F.lit(False))
-    year = F.when(named & first.rlike(r"^[0-9]+\z"), first.try_cast("int"))
+    year = F.when(named & first.rlike(r"^\p{Nd}+\z"), to_number(first, "int"))
     rest = F.array_join(F.slice(words, 3, F.greatest(F.size(words), F.lit(1))), " ")
     # Never null, and plainly so: a join on the make then adds no null filter that would
     # keep two uses of the same counts from sharing one shuffle.

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from motorlake import constants as K
-from motorlake.functions.text import BLANK_CLASS, BLANKS
+from motorlake.functions.listing import MILEAGE, PRICE_DIGITS
+from motorlake.functions.text import BLANKS, OTHER_DIGITS, OTHER_DIGITS_AS_ASCII
 
 
 def _quoted(text: str) -> str:
@@ -21,38 +22,35 @@ def _codes(text: str) -> str:
     return "concat(" + ", ".join(f"char({ord(c)})" if ord(c) < 256 else _quoted(c) for c in text) + ")"
 
 
+def _to_number(digits: str) -> str:
+    latin = f"translate({digits}, {_quoted(OTHER_DIGITS)}, {_quoted(OTHER_DIGITS_AS_ASCII)})"
+    return f"coalesce(try_cast({digits} as double), try_cast({latin} as double))"
+
+
 def _get_km() -> str:
-    pattern = _quoted(rf"(?i)([0-9,]+){BLANK_CLASS}*(km|miles|mi)")
-    hit = f"regexp_extract(at_text, {pattern}, 0)"
-    number = f"try_cast(translate({hit}, {_codes('kmilesKMILES,' + BLANKS)}, '') as double)"
+    hit = f"regexp_extract(at_text, {_quoted(MILEAGE)}, 0)"
+    number = _to_number(f"translate({hit}, {_codes('kmilesKMILES,' + BLANKS)}, '')")
     return (
         f"coalesce(try_cast(if(contains(lower({hit}), 'mi'), {number} * {K.MILE_IN_KM}D, "
         f"{number}) as bigint), 0L)"
     )
 
 
-def _price_parts() -> tuple[str, str]:
-    clean = "replace(p_text, ',', '')"
-    digits = f"regexp_extract({clean}, '([0-9]+)', 1)"
-    value = (
-        f"coalesce(if(contains(p_text, {_quoted(K.MISSING_TEXT)}), null, "
-        f"try_cast({digits} as double)), 0D)"
-    )
-    return clean, value
+_CLEAN = "replace(p_text, ',', '')"
+
+
+def _stated_price() -> str:
+    digits = f"regexp_extract({_CLEAN}, {_quoted(PRICE_DIGITS)}, 1)"
+    return f"if(contains(p_text, {_quoted(K.MISSING_TEXT)}), null, {_to_number(digits)})"
 
 
 def _currency() -> str:
-    clean, _ = _price_parts()
-    digits = f"regexp_extract({clean}, '([0-9]+)', 1)"
     whens = " ".join(
-        "when " + " or ".join(f"contains({clean}, {_quoted(m)})" for m in marks) + f" then {_quoted(code)}"
+        "when " + " or ".join(f"contains({_CLEAN}, {_quoted(m)})" for m in marks) + f" then {_quoted(code)}"
         for code, marks in K.CURRENCY_MARKS
     )
     default = _quoted(K.DEFAULT_CURRENCY)
-    return (
-        f"case when p_text is null or contains(p_text, {_quoted(K.MISSING_TEXT)}) "
-        f"or {digits} = '' then {default} {whens} else {default} end"
-    )
+    return f"case when {_stated_price()} is null then {default} {whens} else {default} end"
 
 
 STATEMENTS = {
@@ -63,7 +61,7 @@ STATEMENTS = {
         "exists(split(wanted, ','), f -> contains(lower(at_text), lower(f))))"
     ),
     "price_currency": f"(p_text STRING) RETURNS STRING RETURN {_currency()}",
-    "get_price_usd": f"(p_text STRING, rate DOUBLE) RETURNS DOUBLE RETURN {_price_parts()[1]} / rate",
+    "get_price_usd": f"(p_text STRING, rate DOUBLE) RETURNS DOUBLE RETURN coalesce({_stated_price()}, 0D) / rate",
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +18,19 @@ BLANKS = (
 BLANK_CLASS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
 
+# Decimal digits of the other scripts, and the ASCII digit of each, from Unicode's own table.
+OTHER_DIGITS = "".join(
+    chr(code) for code in range(0x80, 0x20000) if unicodedata.category(chr(code)) == "Nd"
+)
+OTHER_DIGITS_AS_ASCII = "".join(str(unicodedata.decimal(digit)) for digit in OTHER_DIGITS)
+
+
+def to_number(digits: Column, kind: str = "double") -> Column:
+    """Digits of any script as a number. The translation only runs where a plain cast fails."""
+    latin = F.translate(digits, OTHER_DIGITS, OTHER_DIGITS_AS_ASCII)
+    return F.coalesce(digits.try_cast(kind), latin.try_cast(kind))
+
+
 def strip(text: Column) -> Column:
     """Drop blanks of any kind from both ends (``trim`` alone only knows the space)."""
     return F.btrim(text, F.lit(BLANKS))
