@@ -84,8 +84,8 @@ def mileage_km(at_text: Column) -> Column:
     """Kilometres as a whole number; 0 when the text states none."""
     hit = F.regexp_extract(at_text, MILEAGE, 0)
     number = to_number(F.translate(hit, "kmilesKMILES," + BLANKS, ""))
-    km = F.when(F.lower(hit).contains("mi"), number * K.MILE_IN_KM).otherwise(number)
-    return F.coalesce(km.try_cast("bigint"), F.lit(0).cast("bigint"))
+    unit = F.when(F.lower(hit).contains("mi"), K.MILE_IN_KM).otherwise(1.0)
+    return F.coalesce((number * unit).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def mileage_label(km: Column) -> Column:

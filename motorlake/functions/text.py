@@ -26,9 +26,10 @@ OTHER_DIGITS_AS_ASCII = "".join(str(unicodedata.decimal(digit)) for digit in OTH
 
 
 def to_number(digits: Column, kind: str = "double") -> Column:
-    """Digits of any script as a number. The translation only runs where a plain cast fails."""
+    """Digits of any script as a number, null for none. The translation only runs where there
+    are digits a plain cast does not know."""
     latin = F.translate(digits, OTHER_DIGITS, OTHER_DIGITS_AS_ASCII)
-    return F.coalesce(digits.try_cast(kind), latin.try_cast(kind))
+    return F.coalesce(digits.try_cast(kind), F.when(digits != "", latin.try_cast(kind)))
 
 
 def strip(text: Column) -> Column:
