@@ -213,7 +213,9 @@ def page_status(title: Column, containers: Column) -> Column:
     for words in K.CHALLENGE_TITLES:
         challenge = challenge | title.contains(words)
     return (
-        F.when(challenge, "challenge").when(containers == 0, "soft_block").otherwise("ok")
+        F.when(challenge, "challenge")
+        .when(F.coalesce(containers, F.lit(0)) == 0, "soft_block")
+        .otherwise("ok")
     )
 
 

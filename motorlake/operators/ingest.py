@@ -186,7 +186,7 @@ def page_outcome(status: Column, has_table: Column) -> Column:
     return (
         F.when(status == 404, "gone")
         .when(status.isNull() | (status != 200), "retry")
-        .when(~has_table, "no_table")
+        .when(~F.coalesce(has_table, F.lit(False)), "no_table")
         .otherwise("ok")
     )
 

@@ -132,8 +132,11 @@ def test_page_status(spark):
             f"<title>Security check</title>{box}",
             "<title>Cars</title>",
             "no title",
+            None,
         )
     )
+    assert got.where("page_id = 5").first()["status"] == "soft_block"
+    got = got.where("page_id < 5")
     assert sorted(rows(got, "page_id", "containers", "status")) == [
         (0, 2, "ok"), (1, 0, "challenge"), (2, 1, "challenge"), (3, 0, "soft_block"), (4, 0, "soft_block"),
     ]

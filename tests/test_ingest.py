@@ -91,7 +91,7 @@ def test_pending_counts_orphans_and_nulls(spark):
 
 
 def test_outcomes(spark):
-    pages = [(404, True), (500, True), (None, True), (200, False), (200, True), (200, True)]
+    pages = [(404, True), (500, True), (None, True), (200, None), (200, True), (200, True)]
     rows = spark.createDataFrame(pages, "status int, has_table boolean")
     assert as_set(ingest.outcome_summary(rows)) == [("gone", 1), ("no_table", 1), ("ok", 2), ("retry", 2)]
 
