@@ -124,6 +124,7 @@ class TrainingSettings:
     rate: float = K.LEARNING_RATE
     rounds: int = 100
     min_rows_per_leaf: int = 5
+    bins: int = 128
     row_share: float = 1.0
     seed: int = K.SPLIT_SEED
 
@@ -151,6 +152,7 @@ def train_price_model(
         stepSize=settings.rate,
         maxIter=settings.rounds,
         minInstancesPerNode=settings.min_rows_per_leaf,
+        maxBins=settings.bins,
         subsamplingRate=settings.row_share,
         seed=settings.seed,
     )
