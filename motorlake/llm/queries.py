@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import exact_dedup, mixing
+from motorlake.llm import exact_dedup, mixing, simhash, warc
 from motorlake.llm.common import table
 from motorlake.llm.registry import ORACLES, QUERIES, query
 
@@ -73,3 +73,27 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.digested(table(spark, sf_dir, "documents"))
     history, arrivals = exact_dedup.batches(rows)
     return exact_dedup.deduplicate(history, arrivals).drop("row_id")
+
+
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op9_warc",
+    oracle="""
+    with stored as (
+      select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages),
+    ranked as (
+      select *, case when payload_bytes >= 1000 then max(page_id) over (partition by html) end as first from stored)
+    select page_id, cast(payload_bytes as bigint) as payload_bytes, sha1(html) as payload_digest,
+      case when first <> page_id then 'revisit' else 'response' end as record_type,
+      case when first <> page_id then first end as refers_to
+    from ranked
+    """,
+)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
