@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import exact_dedup, mixing, simhash, warc
+from motorlake.llm import decontaminate, exact_dedup, mixing, simhash, token_shards, warc
 from motorlake.llm.common import table
 from motorlake.llm.registry import ORACLES, QUERIES, query
 
@@ -97,3 +97,17 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op6_benchmark_decontamination")
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_token_shards")
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(table(spark, sf_dir, "documents")).select(
+        "slot", "shard", "start", "n_tokens", "crc", "stored",
+        F.col("parts.doc_id").alias("doc_ids"), F.col("parts.first").alias("first_tokens"),
+        F.col("parts.n").alias("token_counts"),
+    )
