@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from motorlake.session import new_folder
 
@@ -63,8 +62,8 @@ _LOCAL = (1 << 33) - 1
 def placed(rows: DataFrame, label: str, position: str = "position") -> DataFrame:
     """Rows numbered from 0 without a gap, in the order of their partitions, and stored.
 
-    Every task numbers its own rows; one row per task is summed up to get the offsets. The
-    offsets have as many rows as the job had tasks.
+    Every task numbers its own rows; the offsets, one row per task of that job, are summed
+    up in one window and sent to all. They never hold more rows than the job had tasks.
     """
     ids = rows.withColumn("__id", F.monotonically_increasing_id())
     rows = saved(
@@ -73,14 +72,9 @@ def placed(rows: DataFrame, label: str, position: str = "position") -> DataFrame
         ).drop("__id"),
         label,
     )
-    counts = rows.groupBy("__task").agg(F.count("*").alias("n")).orderBy("__task").collect()
-    start, offsets = 0, []
-    for task, n in counts:
-        offsets.append((task, start))
-        start += n
-    spark = rows.sparkSession
-    schema = T.StructType([T.StructField("__task", T.LongType()), T.StructField("__start", T.LongType())])
-    offset = spark.createDataFrame(offsets, schema)
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("__task").agg(F.count("*").alias("n"))
+    offset = counts.select("__task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
     return rows.join(F.broadcast(offset), "__task").withColumn(
         position, F.col("__start") + F.col("__local")
     ).drop("__task", "__start", "__local")

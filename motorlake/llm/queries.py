@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import decontaminate, exact_dedup, mixing, simhash, token_shards, warc
+from motorlake.llm import decontaminate, exact_dedup, line_runs, mixing, simhash, token_shards, warc
 from motorlake.llm.common import table
 from motorlake.llm.registry import ORACLES, QUERIES, query
 
@@ -111,3 +111,38 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("parts.doc_id").alias("doc_ids"), F.col("parts.first").alias("first_tokens"),
         F.col("parts.n").alias("token_counts"),
     )
+
+
+@query(
+    "op8_line_dedup",
+    oracle=rf"""
+    with docs as (
+      select doc_id, text, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+    lines as (
+      select doc_id, unnest(range(1, len(parts) + 1)) as p, unnest(parts) as line from docs where text is not null),
+    classed as (
+      select *, dense_rank() over (order by line) as id, len(regexp_extract_all(line, '{_WORD}')) as words from lines),
+    texts as (
+      select doc_id, list(id order by p) as ids, list(words order by p) as words from classed group by doc_id),
+    starts as (select *, unnest(range(1, len(ids) + 1)) as s from texts),
+    runs as (
+      select doc_id, s, e, cast(ids[s:e] as varchar) as k, list_sum(words[s:e]) as words
+      from (select *, unnest(range(s, len(ids) + 1)) as e from starts)),
+    copies as (select *, row_number() over (partition by k order by doc_id, s) as n from runs),
+    reach as (select doc_id, s, max(e) as e from copies where n > 1 and words >= 25 group by doc_id, s),
+    gone as (
+      select distinct lines.doc_id, lines.p from lines join reach
+      on lines.doc_id = reach.doc_id and lines.p between reach.s and reach.e),
+    rest as (
+      select doc_id, string_agg(line, chr(10) order by p) as text from lines anti join gone using (doc_id, p)
+      group by doc_id),
+    counted as (select doc_id, count(*) as n from gone group by doc_id)
+    select docs.doc_id, cast(case when docs.text is null then 0 else len(parts) end as bigint) as lines,
+      cast(coalesce(counted.n, 0) as bigint) as removed,
+      case when docs.text is null then null else coalesce(rest.text, '') end as text
+    from docs left join rest using (doc_id) left join counted using (doc_id)
+    """,
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_runs.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "lines", "removed", "text")
