@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import decontaminate, exact_dedup, line_runs, mixing, simhash, token_shards, warc
+from motorlake.llm import (
+    decontaminate,
+    exact_dedup,
+    line_runs,
+    mixing,
+    quality,
+    simhash,
+    token_shards,
+    toxicity,
+    warc,
+)
 from motorlake.llm.common import table
 from motorlake.llm.registry import ORACLES, QUERIES, query
 
@@ -146,3 +156,13 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_runs.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select(F.col("row.doc_id").alias("doc_id"), "lines", "removed", "text")
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
