@@ -9,6 +9,7 @@ from motorlake.llm import (
     decontaminate,
     exact_dedup,
     line_runs,
+    lm,
     mixing,
     quality,
     simhash,
@@ -166,3 +167,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality_classifier")
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))

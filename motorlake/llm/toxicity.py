@@ -18,6 +18,7 @@ result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,7 +33,9 @@ from motorlake.llm.sampling import labelled_sample
 TRAIN_DOCS = 12_000
 THRESHOLD = 0.3
 MODULUS, HELD = 4, 2
-SUPPORT = 4  # toxic documents a mined term needs
+SUPPORT = 4  # toxic documents a mined term needs,
+SHARE = 0.02  # and their share of all toxic ones
+RATIO = 200  # times a mined term is likelier in toxic documents than in others
 LEAST_GAIN = 20.0  # likelihood ratio statistic a mined term needs
 MOST_TERMS = 250
 STEMS = (4, 5, 6)  # lengths of word beginnings
@@ -60,6 +63,16 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
+def _least_hash(text):
+    """Column with the least hash of a text's words: equal for most near copies."""
+
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([min((zlib.crc32(w.encode()) for w in set(words_of(t))), default=-1) for t in texts], dtype="int64")
+
+    return run(text)
+
+
 def _count_terms(docs: DataFrame, wanted: set[str] | None) -> DataFrame:
     """(term, n): documents that hold each term, counted per slice before the shuffle."""
 
@@ -84,13 +97,15 @@ def gain(with_toxic, toxic, with_clean, clean):
     return 2 * parts.sum()
 
 
-def mine(sample: DataFrame, support: int = SUPPORT, most: int = MOST_TERMS) -> list[str]:
-    """Terms that speak for toxic, the strongest first."""
+def mine(sample: DataFrame, most: int = MOST_TERMS) -> list[str]:
+    """Terms that speak for toxic, the strongest first. Copies of a document, near ones
+    included, count once: their words would all look alike."""
+    sample = sample.dropDuplicates(["label", "least_hash"])
     totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return []
-    often = _count_terms(sample.filter("label = 1"), None).filter(F.col("n") >= support)
+    often = _count_terms(sample.filter("label = 1"), None).filter(F.col("n") >= max(SUPPORT, SHARE * toxic))
     # As many rows as the bounded sample has repeated terms.
     candidates = {r.term: r.n for r in often.collect()}
     counted = _count_terms(sample.filter("label = 0"), set(candidates)).collect()
@@ -98,7 +113,7 @@ def mine(sample: DataFrame, support: int = SUPPORT, most: int = MOST_TERMS) -> l
     found = []
     for term, n in candidates.items():
         other = elsewhere.get(term, 0)
-        if n / toxic > 20 * other / clean and (value := gain(n, toxic, other, clean)) >= LEAST_GAIN:
+        if n / toxic > RATIO * other / clean and (value := gain(n, toxic, other, clean)) >= LEAST_GAIN:
             found.append((-value, term))
     return [term for _, term in sorted(found)[:most]]
 
@@ -210,7 +225,8 @@ def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 40, ridge: float
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
     """Mined terms and the weights of the linear classifier."""
-    sample = saved(labelled_sample(docs, labels, label, MODULUS, HELD, most), "toxic-sample")
+    sample = labelled_sample(docs, labels, label, MODULUS, HELD, most)
+    sample = saved(sample.withColumn("least_hash", _least_hash(F.col("text"))), "toxic-sample")
     terms = mine(sample)
     voters = Voters(terms)
 
