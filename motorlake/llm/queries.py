@@ -117,11 +117,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query("op10_token_shards")
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_shards.materialise(table(spark, sf_dir, "documents")).select(
-        "slot", "shard", "start", "n_tokens", "crc", "stored",
-        F.col("parts.doc_id").alias("doc_ids"), F.col("parts.first").alias("first_tokens"),
-        F.col("parts.n").alias("token_counts"),
-    )
+    return token_shards.slots(table(spark, sf_dir, "documents"))
 
 
 @query(

@@ -213,3 +213,12 @@ def materialise(docs: DataFrame, **options) -> DataFrame:
     folder = new_folder(docs.sparkSession, "shards")
     sizes = {k: options[k] for k in ("length", "slots") if k in options}
     return verify(write(docs, folder, **options), folder, **sizes)
+
+
+def slots(docs: DataFrame, **options) -> DataFrame:
+    """``materialise`` with the parts as lists: document ids, first tokens, token counts."""
+    return materialise(docs, **options).select(
+        "slot", "shard", "start", "n_tokens", "crc", "stored",
+        F.col("parts.doc_id").alias("doc_ids"), F.col("parts.first").alias("first_tokens"),
+        F.col("parts.n").alias("token_counts"),
+    )
