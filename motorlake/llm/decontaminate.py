@@ -151,7 +151,8 @@ class Items:
         for length, gate in self.gates.items():
             # A text shorter than its items' shingles cannot hold one.
             places, codes = self._codes(ids, length)
-            hit = np.isin(codes, gate)
+            near = np.minimum(np.searchsorted(gate, codes), len(gate) - 1)
+            hit = gate[near] == codes
             for place, code in zip(places[hit].tolist(), codes[hit].tolist()):
                 for size in self.codes[length][code]:
                     wanted[size].append(place)
@@ -224,7 +225,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     out = None
     for items in item_blocks(benchmark, chars):
         found = docs.select(F.col(key).alias("doc_id"), _search(items, radius, threshold)(clean_text(text)).alias("m"))
-        rows = found.filter(F.size("m") > 0).select("doc_id", F.inline("m"))
+        rows = found.select("doc_id", F.inline("m"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
