@@ -8,7 +8,7 @@ are regular expressions and stay in the JVM altogether.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -40,27 +40,29 @@ TAG_COLUMNS = "pos int, attribute string, value string"
 PAGES_PER_OUTPUT = 256
 
 
-def _map_pages(pages: DataFrame, key: str, rows_of, columns: str) -> DataFrame:
-    """Run ``rows_of(html)`` on every page; its rows get the page key in front.
+def _map_pages(pages: DataFrame, key: str, rows_of, columns: str, carried: Sequence[str] = ()) -> DataFrame:
+    """Run ``rows_of(html)`` on every page; its rows get the page key in front, and behind it
+    the carried columns of the page.
 
     Output leaves the worker every few pages, so memory follows one slice of pages, not a
     whole input batch.
     """
-    schema = f"{key} {pages.schema[key].dataType.simpleString()}, {columns}"
-    names = [field.split()[0] for field in schema.split(", ")]
+    kept = [key, *carried]
+    names = [*kept, *[field.split()[0] for field in columns.split(", ")]]
+    schema = ", ".join([*[f"{c} {pages.schema[c].dataType.simpleString()}" for c in kept], columns])
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), PAGES_PER_OUTPUT):
                 piece = batch.iloc[start : start + PAGES_PER_OUTPUT]
                 rows = [
-                    (page, *row)
-                    for page, html in zip(piece[key], piece["html"])
+                    (*page, *row)
+                    for *page, html in zip(*[piece[c] for c in kept], piece["html"])
                     for row in rows_of(html)
                 ]
                 yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return pages.select(key, "html").mapInPandas(extract, schema)
+    return pages.select(*kept, "html").mapInPandas(extract, schema)
 
 
 # ---------------------------------------------------------------- category pages
@@ -104,9 +106,11 @@ def extract_gl_cards(pages: DataFrame) -> DataFrame:
 
 
 def flat_links(pages: DataFrame, opening: str, closing: str) -> DataFrame:
-    """(page_id, pos, href) of links between two flat markers, by regular expression."""
-    region = F.regexp_extract(F.col("html"), f"(?s){opening}(.*?){closing}", 1)
-    hrefs = F.regexp_extract_all(region, F.lit(r'<a\b[^>]*?\bhref="([^"]*)"'), F.lit(1))
+    """(page_id, pos, href) of links in all regions between two flat markers, by regular
+    expression."""
+    regions = F.regexp_extract_all(F.col("html"), F.lit(f"(?s){opening}(.*?){closing}"), F.lit(1))
+    links = F.lit(r'<a\b[^>]*?\bhref="([^"]*)"')
+    hrefs = F.flatten(F.transform(regions, lambda region: F.regexp_extract_all(region, links, F.lit(1))))
     return pages.select("page_id", F.posexplode(hrefs).alias("pos", "href"))
 
 
@@ -154,8 +158,12 @@ def extract_offer_cards(pages: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- detail pages
 
+def _style_hides(attrs: dict[str, str]) -> bool:
+    return "none" in attrs.get("style", "")
+
+
 def _hidden(node: markup.Element) -> bool:
-    return "none" in node.attrs.get("style", "")
+    return _style_hides(node.attrs)
 
 
 def _tag_rows(html: str):
@@ -172,28 +180,36 @@ def _tag_rows(html: str):
             pos += 1
 
 
-def extract_detail_tags(pages: DataFrame) -> DataFrame:
-    """(car_id, pos, attribute, value) of detail pages (car_id, html)."""
+def extract_detail_tags(pages: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """(car_id, pos, attribute, value) of detail pages (car_id, html), and any carried
+    columns of the pages."""
     candidates = pages
     for word in K.DETAIL_TABLE.split():
         candidates = candidates.where(F.col("html").contains(word))
-    return _map_pages(candidates, "car_id", _tag_rows, TAG_COLUMNS)
+    return _map_pages(candidates, "car_id", _tag_rows, TAG_COLUMNS, carried)
+
+
+def live_markup(html: Column) -> Column:
+    """The page without comments and without the text of scripts, styles and templates."""
+    dead = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
+    return F.regexp_replace(html, dead, "")
 
 
 def has_detail_table(html: Column) -> Column:
     """Whether the page has an attribute table, read off its opening tag."""
     words = r"\s+".join(K.DETAIL_TABLE.split())
-    return html.rlike(rf"""(?i)<table\b[^>]*\sclass\s*=\s*["']\s*{words}\s*["']""")
+    return live_markup(html).rlike(rf"""(?i)<table\b[^>]*\sclass\s*=\s*["']\s*{words}\s*["']""")
 
 
 def strip_hidden_nodes(html: Column) -> Column:
-    """Flat variant: drop leaf elements whose style attribute contains ``none``.
+    """The markup without elements whose style contains ``none``, with all they hold; the
+    rest stays as it is written. How elements nest decides, so the page is read as a tree."""
 
-    Elements inside a hidden one go first, so two passes reach one level of nesting; for
-    deeper markup ``extract_detail_tags`` works on the tree.
-    """
-    leaf = r"""(?s)<(\w+)\b[^>]*\bstyle="[^"]*none[^"]*"[^>]*>[^<]*</\1>"""
-    return F.regexp_replace(html, leaf, "")
+    @F.pandas_udf("string")
+    def visible(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: page if page is None else markup.without(page, _style_hides))
+
+    return visible(html)
 
 
 # ---------------------------------------------------------------- page status
@@ -205,7 +221,7 @@ def page_title(html: Column) -> Column:
 def count_divs(html: Column, css: str) -> Column:
     """How many ``div`` tags carry the class token ``css``, read off the opening tags."""
     tag = rf"""(?i)<div\b[^>]*?\sclass\s*=\s*["'](?:[^"']*\s)?{css}(?:\s[^"']*)?["']"""
-    return F.regexp_count(html, F.lit(tag))
+    return F.regexp_count(live_markup(html), F.lit(tag))
 
 
 def page_status(title: Column, containers: Column) -> Column:

@@ -32,32 +32,20 @@ def facet_make_model_counts(items: DataFrame) -> DataFrame:
     return make_model_counts(items).orderBy("make", "model")
 
 
-def facet_tree(items: DataFrame, models_per_record: int = 10_000) -> DataFrame:
+def facet_tree(items: DataFrame, letters: int = 2) -> DataFrame:
     """Rows (name, count, part, models[(name, count)]), models sorted by name.
 
-    A make is one record, part 0, as long as it has at most ``models_per_record`` models.
-    The make of unparsed titles has a "model" per title, without bound; a make beyond the
-    limit is dealt over as many parts as it needs by a hash of the model name. No array
-    outgrows a task and no model is lost.
+    A part holds the models of a make that begin with the same ``letters`` characters, so
+    the parts in their order list all models of the make in theirs. The rule looks at names
+    alone. The make of unparsed titles has a "model" per title; its parts are as many as
+    there are beginnings. ``count`` is the make's.
     """
     counts = make_model_counts(items)
-    wide = (
-        counts.groupBy("make")
-        .agg(F.count("*").alias("_models"), F.sum("n").alias("_total"))
-        .where(F.col("_models") > models_per_record)
-    )
-    parts = F.ceil(F.col("_models") / models_per_record)
-    part = F.coalesce(F.pmod(F.xxhash64("model"), parts), F.lit(0).cast("bigint"))
-    dealt = counts.join(wide, "make", "left").withColumn("part", part)
+    totals = counts.groupBy("make").agg(F.sum("n").alias("count"))
     entry = F.struct(F.col("model").alias("name"), F.col("n").alias("count"))
-    return (
-        dealt.groupBy(F.col("make").alias("name"), "part")
-        .agg(
-            F.coalesce(F.max("_total"), F.sum("n")).alias("count"),
-            F.sort_array(F.collect_list(entry)).alias("models"),
-        )
-        .select("name", "count", "part", "models")
-    )
+    part = F.substring(F.coalesce("model", F.lit("")), 1, letters).alias("part")
+    parts = counts.groupBy("make", part).agg(F.sort_array(F.collect_list(entry)).alias("models"))
+    return parts.join(totals, "make").select(F.col("make").alias("name"), "count", "part", "models")
 
 
 def distinct_options(rows: DataFrame, fields: Sequence[str] = K.OPTION_FIELDS) -> DataFrame:

@@ -1,8 +1,9 @@
 """Keyed writes, resume lists and run summaries.
 
-Conflict rules are aggregates, never windows: ``max_by``/``min_by`` combine on the map
-side, so a key that holds a large share of the rows reaches the reducer as one row per
-task.
+Conflict rules are aggregates, never windows: the greatest or least (order, row) combines
+on the map side, so a key that holds a large share of the rows reaches the reducer as one
+row per task. A row whose order is null counts only where its key has no other; rows of
+equal order are told apart by their values, so the result does not depend on partitions.
 """
 
 from __future__ import annotations
@@ -19,21 +20,22 @@ from motorlake.functions.text import strip
 
 # ---------------------------------------------------------------- conflict rules
 
-def _resolve(rows: DataFrame, keys: Sequence[str], pick) -> DataFrame:
+def _resolve(rows: DataFrame, keys: Sequence[str], pick, order: Sequence[Column]) -> DataFrame:
     others = [c for c in rows.columns if c not in keys]
     keyed = rows.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    chosen = keyed.groupBy(*keys).agg(pick(F.struct(*others)).alias("_row"))
-    return chosen.select(*keys, "_row.*").select(*rows.columns)
+    ranked = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], F.struct(*others).alias("_row"))
+    chosen = keyed.groupBy(*keys).agg(pick(ranked).alias("_best"))
+    return chosen.select(*keys, "_best._row.*").select(*rows.columns)
 
 
-def last_wins(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+def last_wins(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """One whole row per key: the one with the greatest ``order``. Null keys drop out."""
-    return _resolve(rows, keys, lambda row: F.max_by(row, order))
+    return _resolve(rows, keys, F.max, [part for c in order for part in (c.isNotNull(), c)])
 
 
-def first_wins(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+def first_wins(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """One whole row per key: the one with the least ``order``. Null keys drop out."""
-    return _resolve(rows, keys, lambda row: F.min_by(row, order))
+    return _resolve(rows, keys, F.min, [part for c in order for part in (c.isNull(), c)])
 
 
 def upsert_latest(
@@ -255,7 +257,12 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        cut.join(offsets, [group, "_block"])
+        cut.alias("cut").join(
+            offsets.alias("offsets"),
+            F.col(f"cut.{group}").eqNullSafe(F.col(f"offsets.{group}"))
+            & (F.col("cut._block") == F.col("offsets._block")),
+        )
+        .select("cut.*", "_offset")
         .withColumn(name, F.col("_offset") + F.sum(value).over(inside))
         .drop("_block", "_offset")
     )
@@ -346,6 +353,6 @@ def append_batch(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def current_items(log: DataFrame) -> DataFrame:
     """The table a batch log stands for: the last row per id over all batches."""
-    return last_wins(log, ["id"], F.struct("batch_id", "ingest_seq")).select(
+    return last_wins(log, ["id"], F.col("batch_id"), F.col("ingest_seq")).select(
         *schemas.ITEMS.fieldNames()
     )

@@ -113,59 +113,29 @@ def matching_items(
     return _numeric_filters(rows, params, rates)
 
 
-SHALLOW = 100_000
-_BINS = 1_000
+def paginate(rows: DataFrame, page: int, size: int = K.PAGE_SIZE) -> DataFrame:
+    """Page ``page`` in arrival order; rows without ``ingest_seq`` come first.
 
-
-def paginate(
-    rows: DataFrame, page: int, size: int = K.PAGE_SIZE, shallow: int = SHALLOW
-) -> DataFrame:
-    """Page ``page`` in arrival order.
-
-    An offset makes every task keep, and the driver merge, all rows before the page. That
-    is cheap for the first ``shallow`` rows. For a page beyond them, counts per range of
-    ``ingest_seq`` first tell where to start, so the same holds at any depth. To walk
-    through all results, ``page_after`` is cheaper still.
+    Every task keeps the rows up to the end of the page, and where those are many Spark
+    sorts by range instead. To walk through all results use ``page_after``, whose cost does
+    not grow with depth.
     """
     start = max((page - 1) * size, 0)
-    if start > shallow:
-        first, skipped = _start_near(rows, start, shallow)
-        rows, start = rows.where(F.col("ingest_seq") >= first), start - skipped
-    return rows.orderBy("ingest_seq", "id").offset(start).limit(size)
-
-
-def _start_near(rows: DataFrame, start: int, shallow: int) -> tuple[int, int]:
-    """(first, skipped): ``skipped`` rows have a smaller ``ingest_seq`` than ``first``, and
-    at most ``shallow`` more (or those of one single value) lie before row ``start``."""
-    seq = F.col("ingest_seq")
-    first, last = rows.agg(F.min(seq), F.max(seq)).first()
-    skipped = 0
-    if first is None:
-        return 0, start
-    while start - skipped > shallow:
-        width = -(-(last - first + 1) // _BINS)
-        inside = rows.where(seq.between(first, last))
-        bins = inside.groupBy(F.floor((seq - first) / width).alias("bin")).count()
-        for bin_, count in bins.orderBy("bin").collect():
-            if skipped + count > start:
-                first, last = first + bin_ * width, min(first + (bin_ + 1) * width - 1, last)
-                break
-            skipped += count
-        else:
-            return last + 1, start
-        if width == 1:
-            break
-    return first, skipped
+    return rows.orderBy(F.col("ingest_seq").asc_nulls_first(), "id").offset(start).limit(size)
 
 
 def page_after(
-    rows: DataFrame, last_seq: int, last_id: str = "", size: int = K.PAGE_SIZE
+    rows: DataFrame, last_seq: int | None, last_id: str = "", size: int = K.PAGE_SIZE
 ) -> DataFrame:
     """The page after a given row: cost does not grow with depth, and the bound on
-    ``ingest_seq`` reaches the parquet scan."""
+    ``ingest_seq`` reaches the parquet scan. Rows without ``ingest_seq`` come first: None
+    goes on among them."""
     seq = F.col("ingest_seq")
-    later = (seq >= last_seq) & ((seq > last_seq) | (F.col("id") > last_id))
-    return rows.where(later).orderBy("ingest_seq", "id").limit(size)
+    if last_seq is None:
+        later = seq.isNotNull() | (F.col("id") > last_id)
+    else:
+        later = (seq >= last_seq) & ((seq > last_seq) | (F.col("id") > last_id))
+    return rows.where(later).orderBy(seq.asc_nulls_first(), "id").limit(size)
 
 
 def has_more(matched: Column, page: int, size: int = K.PAGE_SIZE) -> Column:
@@ -221,15 +191,15 @@ def typed_items(items: DataFrame) -> DataFrame:
 
 
 def write_typed_items(items: DataFrame, path: str) -> None:
-    """Store typed items clustered by make.
+    """Store typed items in arrival order.
 
-    Range-partitioning on (make, ingest_seq) gives each file a narrow make range for
-    min/max skipping, and still cuts one very common make into many files.
+    Paging filters on ``ingest_seq``: each file holds a range of it, so ``page_after`` skips
+    the files before its row. Makes are searched as parts of titles, which no order helps.
     """
     (
         typed_items(items)
-        .repartitionByRange("make", "ingest_seq")
-        .sortWithinPartitions("make", "ingest_seq")
+        .repartitionByRange("ingest_seq", "id")
+        .sortWithinPartitions("ingest_seq", "id")
         .write.mode("overwrite").parquet(path)
     )
 

@@ -9,34 +9,23 @@ from pyspark.sql import functions as F
 
 from motorlake import constants as K
 
-MAX_ATTRIBUTES = 10_000
-
-
-def attribute_names(tags: DataFrame, limit: int = MAX_ATTRIBUTES) -> list[str]:
-    """Distinct attribute names, sorted: the columns a pivot would infer.
-
-    Column names must be known to plan the query. More than ``limit`` of them is an
-    error, not a cut.
-    """
+def attribute_names(tags: DataFrame) -> list[str]:
+    """Distinct attribute names, sorted: the columns of a pivot over all of them. A plan
+    needs its column names; there are as many as the pivot has columns."""
     names = tags.where("attribute IS NOT NULL").select("attribute").distinct()
-    found = [row[0] for row in names.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} attribute names; pass the wanted ones")
-    return sorted(found)
+    return sorted(row[0] for row in names.toLocalIterator())
 
 
-def pivot_tags(tags: DataFrame, attributes: Sequence[str] | None = None) -> DataFrame:
+def pivot_tags(tags: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """(car_id, attribute, value, seq) -> one row per car, one column per attribute.
 
-    The first non-null value by ``seq`` counts. Naming the attributes keeps the schema
-    stable and saves the job that would look for them. ``min_by`` combines before the
-    single shuffle by car.
+    The first non-null value by ``seq`` counts; one without ``seq`` counts only where the
+    attribute has no other. The least (seq, value) combines before the single shuffle by car.
     """
-    if attributes is None:
-        attributes = attribute_names(tags)
     known = tags.where("car_id IS NOT NULL AND value IS NOT NULL AND attribute IS NOT NULL")
     grouped = known.groupBy("car_id").pivot("attribute", list(attributes))
-    return grouped.agg(F.min_by("value", "seq"))
+    first = grouped.agg(F.min(F.struct(F.col("seq").isNull().alias("_none"), "seq", "value")))
+    return first.select("car_id", *[F.col(f"`{a}`")["value"].alias(a) for a in attributes])
 
 
 def unpivot_tags(wide: DataFrame) -> DataFrame:
@@ -55,7 +44,7 @@ def unify_left_join(cars: DataFrame, wide: DataFrame) -> DataFrame:
     return cars.join(side, cars["id"] == side["car_id"], "left").drop("car_id")
 
 
-def unify(cars: DataFrame, tags: DataFrame, attributes: Sequence[str] | None = None) -> DataFrame:
+def unify(cars: DataFrame, tags: DataFrame, attributes: Sequence[str]) -> DataFrame:
     return unify_left_join(cars, pivot_tags(tags, attributes))
 
 

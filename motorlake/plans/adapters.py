@@ -185,7 +185,8 @@ def detail_pages(cars: DataFrame) -> DataFrame:
         ' </b><i style="pointer-events:none">y<u>z</u></i></td></tr>',
         "<tr><td>Brand</td><td>later</td></tr><tr><td>lonely</td></tr>",
     )
-    table_html = F.when(key % 10 == 0, "<p>sold</p>").otherwise(
+    gone = '<p>sold</p><!-- <table class="pad-top-6 ad-det"><tbody></tbody></table> -->'
+    table_html = F.when(key % 10 == 0, gone).otherwise(
         _text('<table class="other"><tbody><tr><td>a</td><td>b</td></tr></tbody></table><table class="',
               css, '">', body_open, row_text, body_close, "</table>")
     )

@@ -104,7 +104,7 @@ def resolve_image_url(spark, sf):
     "extract_page_links",
     r"""select page_id, cast(pos - 1 as int) as pos, hrefs[pos] as href from (
       select page_id, hrefs, unnest(generate_series(1, len(hrefs))) as pos from (
-        select page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
+        select page_id, regexp_extract_all(array_to_string(regexp_extract_all(html, '(?s)<nav>(.*?)</nav>', 1), ' '),
           '<a\b[^>]*?\bhref="([^"]*)"', 1) as hrefs from pages) a) b""",
 )
 def extract_page_links(spark, sf):
@@ -164,7 +164,9 @@ def extract_detail_tags(spark, sf):
 )
 def strip_hidden_nodes(spark, sf):
     html = F.concat(
-        F.lit("<td>"), F.col("o_orderpriority"), F.lit('<span class="j" style="display: none;">{"k":'),
+        F.lit("<td>"), F.col("o_orderpriority"),
+        F.lit("<div style='display:none'>a<br><div>b<p>c</p></div>d</div><img style=\"display:none\">"),
+        F.lit('<span class="j" style="display: none;">{"k":'),
         F.col("o_custkey").cast("string"), F.lit('}</span><b style="color:red">'), F.col("o_orderstatus"),
         F.lit('</b><i style="pointer-events:none">'), F.col("o_totalprice").cast("string"), F.lit("</i> end</td>"),
     )
@@ -189,6 +191,9 @@ _CLASSIFIED = f"""
 
 def _classified(spark, sf):
     pages = spark.sql(_STATUS_PAGES, pages=adapters.table(spark, sf, "pages"))
+    # Markup inside scripts and comments is no markup.
+    dead = '<script>var a=\'<div class="ad">\';</script><!-- <div class="ad"> -->'
+    pages = pages.withColumn("html", F.concat("html", F.lit(dead)))
     return extract.classify_pages(pages, "ad")
 
 

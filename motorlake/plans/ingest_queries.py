@@ -419,14 +419,21 @@ def _stream(spark, sf, name):
     return landing.read_landing(spark, f"{sf}/{name}.parque[t]", schema)
 
 
-@query(
-    "stream_extract_upsert",
-    with_tables(
-        "items",
-        "select id, case when ingest_seq % 13 = 0 then 'N/A' when ingest_seq % 4 = 0 then '$7,777' else p_text end "
-        "as p_text, l_text, at_text from items",
-    ),
+_STREAMED = with_tables(
+    "items",
+    "select id, case when ingest_seq % 13 = 0 then 'N/A' when ingest_seq % 4 = 0 then '$7,777' else p_text end "
+    "as p_text, l_text, at_text from items",
 )
+
+
+def _landed(spark, pages):
+    """Pages landed in files of their own, read as a stream of one file a micro-batch."""
+    folder = new_folder(spark, "landing")
+    pages.repartition(3).write.parquet(folder)
+    return landing.read_landing(spark, folder, spark.read.parquet(folder).schema, 1)
+
+
+@query("stream_extract_upsert", _STREAMED)
 def stream_extract_upsert(spark, sf):
     pages = adapters.category_pages(adapters.items_of(_stream(spark, sf, "part")))
     folder = new_folder(spark, "card-stream")
@@ -434,6 +441,51 @@ def stream_extract_upsert(spark, sf):
     return landing.upserted_cards(spark, f"{folder}/log").drop("image_src")
 
 
+@query("compact_card_log", _STREAMED)
+def compact_card_log(spark, sf):
+    """A log is compacted between its first and its second stream."""
+    listed = adapters.items(spark, sf)
+    folder = new_folder(spark, "compacted")
+    older = adapters.category_pages(listed.withColumn("l_text", F.lit("old")))
+    landing.stream_extract_upsert(_landed(spark, older), f"{folder}/a", f"{folder}/a-check").awaitTermination()
+    landing.compact_log(spark, f"{folder}/a", f"{folder}/b")
+    newer = _landed(spark, adapters.category_pages(listed))
+    landing.stream_extract_upsert(newer, f"{folder}/b", f"{folder}/b-check").awaitTermination()
+    landing.compact_log(spark, f"{folder}/b", f"{folder}/c")
+    return landing.upserted_cards(spark, f"{folder}/c").drop("image_src")
+
+
+@query(
+    "stream_offer_upsert",
+    with_tables("cars", "select id, brand, model, price, taxed, year from cars"),
+)
+def stream_offer_upsert(spark, sf):
+    pages = _landed(spark, adapters.offer_pages(adapters.cars(spark, sf)))
+    folder = new_folder(spark, "offer-stream")
+    landing.stream_offer_upsert(
+        pages, f"{folder}/log", f"{folder}/bad", f"{folder}/checkpoint"
+    ).awaitTermination()
+    return landing.upserted_cars(spark, f"{folder}/log").select("id", "brand", "model", "price", "taxed", "year")
+
+
+@query(
+    "stream_detail_tags",
+    with_tables(
+        "cars",
+        "select id as car_id, attribute, case attribute when 'Brand' then brand else cast(year as varchar) end as value "
+        "from cars cross join (values ('Brand'), ('Year')) v(attribute) "
+        "where cast(id as bigint) % 9 <> 0 and cast(id as bigint) % 10 <> 0 and cast(id as bigint) % 11 <> 0",
+    ),
+)
+def stream_detail_tags(spark, sf):
+    pages = adapters.detail_pages(adapters.cars(spark, sf)).drop("status")
+    folder = new_folder(spark, "detail-stream")
+    stream = landing.stream_detail_tags(_landed(spark, pages), f"{folder}/a", f"{folder}/checkpoint")
+    stream.awaitTermination()
+    landing.compact_tag_log(spark, f"{folder}/a", f"{folder}/b")
+    return landing.first_tags(spark, f"{folder}/b")
+
+
 @query("stream_first_wins", with_tables("tags", "select car_id, attribute, value from tags"))
 def stream_first_wins(spark, sf):
     tags = adapters.tags_of(_stream(spark, sf, "lineitem"))

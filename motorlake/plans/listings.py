@@ -14,12 +14,11 @@ def items_from_pages(pages: DataFrame) -> DataFrame:
     """Category pages (page_id, html) -> items, the last card per id.
 
     ``ingest_seq`` is the order of arrival: ``page_id``, which counts fetched pages over
-    all runs, then the place on the page.
+    all runs. Of one id the card latest by page and place on the page counts.
     """
-    cards = extract.extract_gl_cards(pages).withColumn(
-        "ingest_seq", F.col("page_id") * 1_000_000 + F.col("pos")
-    )
-    return ingest.last_wins(cards.drop("page_id", "pos"), ["id"], F.col("ingest_seq"))
+    cards = extract.extract_gl_cards(pages)
+    last = ingest.last_wins(cards, ["id"], F.col("page_id"), F.col("pos"))
+    return last.withColumn("ingest_seq", F.col("page_id").cast("long")).drop("page_id", "pos")
 
 
 def land_category_pages(pages: DataFrame, items: DataFrame, path: str) -> None:

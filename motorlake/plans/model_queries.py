@@ -92,7 +92,8 @@ def pivot_tags(spark, sf):
 
 @query("pivot_tags_inferred", _sql(f"select car_id, {_names()} from pivoted", "pivoted"))
 def pivot_tags_inferred(spark, sf):
-    wide = unify.pivot_tags(adapters.tags(spark, sf))
+    tags = adapters.tags(spark, sf)
+    wide = unify.pivot_tags(tags, unify.attribute_names(tags))
     return wide.withColumnsRenamed({source: name for name, source in _ATTRIBUTES.items()})
 
 

@@ -21,7 +21,7 @@ def offer_cards(pages: DataFrame) -> DataFrame:
 def split_offer_cards(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cars, quarantine); the last usable card per id stays."""
     good = cards.where("error IS NULL").drop("error", "price_raw", "year_raw")
-    last = ingest.last_wins(good, ["id"], F.struct("page_id", "pos")).drop("page_id", "pos")
+    last = ingest.last_wins(good, ["id"], F.col("page_id"), F.col("pos")).drop("page_id", "pos")
     return ingest.default_timestamp(last), cards.where("error IS NOT NULL")
 
 
@@ -39,20 +39,26 @@ def land_search_pages(pages: DataFrame, cars: DataFrame, path: str) -> DataFrame
     return bad
 
 
-def land_detail_pages(pages: DataFrame, path: str) -> None:
+def land_detail_pages(pages: DataFrame, path: str, landing: str | None = None) -> None:
     """Append the new tags of landed detail pages to the tags stored at ``path``; a value
     already there stays. Running it again for the same pages appends nothing."""
     spark = pages.sparkSession
-    batch = materialise(tags_from_pages(pages), new_folder(spark, "detail-tags"))
+    batch = materialise(tags_from_pages(pages, landing), new_folder(spark, "detail-tags"))
     stored = spark.read.parquet(path)
     fresh = ingest.insert_ignore(stored, batch, ["car_id", "attribute"], "seq")
     fresh.select(*stored.columns).write.mode("append").parquet(path)
 
 
-def tags_from_pages(pages: DataFrame) -> DataFrame:
-    """Detail pages (car_id, html) -> tags, the first value per attribute."""
-    found = extract.extract_detail_tags(pages).withColumnRenamed("pos", "seq")
-    return ingest.first_wins(found, ["car_id", "attribute"], F.col("seq"))
+def tags_from_pages(pages: DataFrame, landing: str | None = None) -> DataFrame:
+    """Detail pages (car_id, html) -> tags, the first value per attribute.
+
+    ``landing`` names a column of the pages that orders several landings of one car: the
+    first landing counts.
+    """
+    carried = [landing] if landing else []
+    found = extract.extract_detail_tags(pages, carried).withColumnRenamed("pos", "seq")
+    order = [F.col(c) for c in (*carried, "seq")]
+    return ingest.first_wins(found, ["car_id", "attribute"], *order).drop(*carried)
 
 
 def train_and_evaluate(
@@ -61,8 +67,12 @@ def train_and_evaluate(
     path: str,
     settings: model.TrainingSettings = model.TrainingSettings(),
 ) -> DataFrame:
-    """Unify, clean, split, fit, store the model, and return (mae, r2) on the test part."""
+    """Unify, clean, split, fit, store the model, and return (mae, r2) on the test part.
+
+    The training set is stored once: encoder, trainer and scoring read it.
+    """
     wide = unify.unify(cars, tags, list(K.ATTRIBUTE_FEATURES))
-    train, test = model.train_test_split(features.build_training_set(wide))
+    folder = new_folder(cars.sparkSession, "training-set")
+    train, test = model.train_test_split(materialise(features.build_training_set(wide), folder))
     fitted = model.train_price_model(train, path, settings)
     return model.evaluate_mae_r2(model.predict_price(test, path, fitted))

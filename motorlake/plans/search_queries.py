@@ -194,11 +194,14 @@ def vehicle_search_matches(spark, sf):
     return search.listing_view(search.matching_items(adapters.items(spark, sf), SEARCH))
 
 
-@query("typed_vehicle_search", with_tables("parsed", f"select {_VIEW} from parsed where {_MATCH}"))
+@query(
+    "typed_vehicle_search",
+    with_tables("parsed", f"select {_VIEW} from parsed where {_MATCH} order by ingest_seq, id limit 24"),
+)
 def typed_vehicle_search(spark, sf):
     path = new_folder(spark, "typed-items")
     search.write_typed_items(adapters.items(spark, sf), path)
-    return search.typed_listing_view(search.matching_typed_items(spark.read.parquet(path), SEARCH))
+    return search.typed_vehicle_search(spark.read.parquet(path), SEARCH)
 
 
 _BOUNDS = """
@@ -244,7 +247,7 @@ def paginate(spark, sf):
 
 @query("paginate_deep", with_tables("items", f"select {_RAW} from items order by ingest_seq, id limit 24 offset 120"))
 def paginate_deep(spark, sf):
-    return _raw(search.paginate(adapters.items(spark, sf), 6, shallow=10))
+    return _raw(search.paginate(adapters.items(spark, sf), 6))
 
 
 @query(
@@ -343,9 +346,10 @@ def facet_make_model_counts(spark, sf):
     "facet_tree",
     with_tables(
         "parsed",
-        "select make as name, cast(sum(n) as bigint) as \"count\", cast(0 as bigint) as part, "
+        "select make as name, cast(total as bigint) as \"count\", substr(model, 1, 2) as part, "
         "string_agg(concat(model, '=', n), ';' order by model) as models from "
-        "(select make, model, count(*) as n from parsed group by make, model) g group by make",
+        "(select make, model, count(*) as n, sum(count(*)) over (partition by make) as total "
+        "from parsed group by make, model) g group by make, total, part",
     ),
 )
 def facet_tree(spark, sf):

@@ -135,3 +135,55 @@ def parse(html: str | None) -> Element:
     builder.feed(html or "")
     builder.close()
     return builder.root
+
+
+class _Spans(HTMLParser):
+    """Places in the source of elements that ``drop`` chooses by their attributes."""
+
+    def __init__(self, html: str, drop: Callable[[dict[str, str]], bool]):
+        super().__init__(convert_charrefs=False)
+        self.drop, self.source = drop, html
+        self.lines = [0, *[i + 1 for i, c in enumerate(html) if c == "\n"]]
+        self.open: list[tuple[str, int | None]] = []
+        self.spans: list[tuple[int, int]] = []
+        self.feed(html)
+        self.close()
+        self._shut(0, len(html))
+
+    def _at(self) -> int:
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
+
+    def _shut(self, depth: int, end: int) -> None:
+        self.spans += [(start, end) for _, start in self.open[depth:] if start is not None]
+        del self.open[depth:]
+
+    def handle_starttag(self, tag, attrs):
+        at = self._at()
+        chosen = self.drop({name: value or "" for name, value in attrs})
+        if tag not in VOID:
+            self.open.append((tag, at if chosen else None))
+        elif chosen:
+            self.spans.append((at, at + len(self.get_starttag_text())))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        at = self._at()
+        depth = next((i for i in reversed(range(len(self.open))) if self.open[i][0] == tag), None)
+        if depth is None:
+            return
+        self._shut(depth + 1, at)
+        end = self.source.find(">", at) + 1
+        self._shut(depth, end or len(self.source))
+
+
+def without(html: str, drop: Callable[[dict[str, str]], bool]) -> str:
+    """The source without the chosen elements and all they hold."""
+    parts, done = [], 0
+    for start, end in sorted(_Spans(html, drop).spans):
+        if start >= done:
+            parts.append(html[done:start])
+        done = max(done, end)
+    return "".join([*parts, html[done:]])

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.storagelevel import StorageLevel
+
 from motorlake.operators import extract, ingest
+from motorlake.plans import price_model
 
 
 def read_landing(
@@ -44,17 +47,47 @@ def stream_extract_upsert(pages: DataFrame, log: str, checkpoint: str) -> Stream
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         cards = extract.extract_gl_cards(batch)
-        last = ingest.last_wins(cards, ["id"], F.struct("page_id", "pos"))
+        last = ingest.last_wins(cards, ["id"], F.col("page_id"), F.col("pos"))
         ingest.append_batch(last, log, batch_id)
 
     return _run(pages, write, checkpoint)
 
 
+def _last_per_id(spark: SparkSession, log: str) -> DataFrame:
+    order = [F.col(c) for c in ("batch_id", "page_id", "pos")]
+    return ingest.last_wins(spark.read.parquet(log), ["id"], *order)
+
+
 def upserted_cards(spark: SparkSession, log: str) -> DataFrame:
     """The items table of a card log: the last write per id."""
-    rows = spark.read.parquet(log)
-    last = ingest.last_wins(rows, ["id"], F.struct("batch_id", "page_id", "pos"))
-    return last.select("id", "image_src", "p_text", "l_text", "at_text")
+    return _last_per_id(spark, log).select("id", "image_src", "p_text", "l_text", "at_text")
+
+
+def stream_offer_upsert(pages: DataFrame, log: str, quarantine: str, checkpoint: str) -> StreamingQuery:
+    """Streaming search pages (page_id, html) -> usable cards -> batch log, one row per id;
+    cards that cannot be used go to the quarantine log."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        cards = price_model.offer_cards(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        good = cards.where("error IS NULL").drop("error", "price_raw", "year_raw")
+        last = ingest.last_wins(good, ["id"], F.col("page_id"), F.col("pos"))
+        ingest.append_batch(ingest.default_timestamp(last), log, batch_id)
+        ingest.append_batch(cards.where("error IS NOT NULL"), quarantine, batch_id)
+        cards.unpersist()
+
+    return _run(pages, write, checkpoint)
+
+
+def upserted_cars(spark: SparkSession, log: str) -> DataFrame:
+    """The cars table of an offer log: the last write per id."""
+    return _last_per_id(spark, log).drop("batch_id", "page_id", "pos")
+
+
+def stream_detail_tags(pages: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+    """Streaming detail pages (car_id, html) -> tags -> batch log, first value per key."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ingest.append_batch(price_model.tags_from_pages(batch), log, batch_id)
+
+    return _run(pages, write, checkpoint)
 
 
 def stream_first_wins(tags: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
@@ -68,9 +101,12 @@ def stream_first_wins(tags: DataFrame, log: str, checkpoint: str) -> StreamingQu
 
 def first_tags(spark: SparkSession, log: str) -> DataFrame:
     """The tags table of a tag log: the first write per (car, attribute)."""
-    rows = spark.read.parquet(log)
-    first = ingest.first_wins(rows, ["car_id", "attribute"], F.struct("batch_id", "seq"))
-    return first.select("car_id", "attribute", "value")
+    return _first_per_key(spark, log).select("car_id", "attribute", "value")
+
+
+def _first_per_key(spark: SparkSession, log: str) -> DataFrame:
+    order = [F.col("batch_id"), F.col("seq")]
+    return ingest.first_wins(spark.read.parquet(log), ["car_id", "attribute"], *order)
 
 
 def first_tags_stateful(tags: DataFrame) -> DataFrame:
@@ -97,6 +133,16 @@ def progress_counts(spark: SparkSession, log: str) -> DataFrame:
     return totals.where(F.col("batch_id") == newest).drop("batch_id")
 
 
+# Batch id of what a log starts from: before all ids a stream hands out.
+START = -1
+
+
 def compact_log(spark: SparkSession, log: str, target: str) -> None:
-    """Write the resolved card table to a new folder, to start a fresh log from."""
-    upserted_cards(spark, log).write.mode("overwrite").parquet(target)
+    """Start a new card or offer log with the resolved rows of an old one, order columns
+    included. A stream with a new checkpoint goes on from there."""
+    ingest.append_batch(_last_per_id(spark, log).drop("batch_id"), target, START)
+
+
+def compact_tag_log(spark: SparkSession, log: str, target: str) -> None:
+    """Start a new tag log with the first values of an old one, which stay the first."""
+    ingest.append_batch(_first_per_key(spark, log).drop("batch_id"), target, START)

@@ -2,6 +2,7 @@ import html
 
 from pyspark.sql import functions as F
 
+from motorlake import constants as K
 from motorlake import schemas
 from motorlake.operators import extract, ingest, search
 from motorlake.plans import adapters, listings, price_model
@@ -214,3 +215,42 @@ def test_given_pages_parse_to_their_titles(spark, sf):
         root = markup.parse(page["html"])
         assert root.first("title").text() == html.unescape(titles[page["page_id"]])
         assert sum(1 for _ in root.all("div", "ad")) == 1
+
+
+def test_hidden_parts_go_with_all_they_hold(spark):
+    from conftest import values
+
+    cases = {
+        '<span style="display:none">a<b>x</b></span>y': "y",
+        "<span style='display:none'>a</span>y": "y",
+        "<td>k<i style=display:none>a<i>b</i>c</i> v</td>": "<td>k v</td>",
+        "<p>a<br style='display:none'>b</p>": "<p>ab</p>",
+        "<ul><li style='display: none'>a<li>b</ul>c": "<ul></ul>c",
+        "no tags & <b class='none'>kept</b>": "no tags & <b class='none'>kept</b>",
+        "<div style='none'>open to the end": "",
+        "</b>stray<!-- <i style='none'> -->": "</b>stray<!-- <i style='none'> -->",
+        None: None,
+    }
+    assert values(spark, extract.strip_hidden_nodes, list(cases)) == list(cases.values())
+
+
+def test_markup_in_scripts_and_comments_does_not_count(spark):
+    html = "<script>var a='<div class=\"gl\">';</script><!-- <div class='gl'><table class='pad-top-6 ad-det'> -->"
+    page = spark.createDataFrame([(1, html), (2, html + "<div class='x gl'></div>")], "page_id long, html string")
+    assert [r.containers for r in extract.classify_pages(page).orderBy("page_id").collect()] == [0, 1]
+    assert [r[0] for r in page.select(extract.has_detail_table(F.col("html"))).collect()] == [False, False]
+
+
+def test_links_of_every_region(spark):
+    html = '<nav><a href="1"></a></nav><a href="x"></a><nav><a href="2"></a><a href="3"></a></nav>'
+    page = spark.createDataFrame([(7, html)], "page_id long, html string")
+    assert [(r.pos, r.href) for r in extract.flat_links(page, "<nav>", "</nav>").collect()] == [(0, "1"), (1, "2"), (2, "3")]
+
+
+def test_the_first_landing_of_a_car_counts(spark):
+    def page(value):
+        return f'<table class="{K.DETAIL_TABLE}"><tbody><tr><td>a</td><td>{value}</td></tr></tbody></table>'
+
+    landed = spark.createDataFrame([("1", page("old"), 4), ("1", page("new"), 9)], "car_id string, html string, at long")
+    for rows_ in (landed, landed.orderBy(F.desc("at")).coalesce(1)):
+        assert [r.value for r in price_model.tags_from_pages(rows_, "at").collect()] == ["old"]

@@ -21,19 +21,19 @@ def test_pivot_takes_the_first_non_null(spark):
         spark, ("1", "a", None, 1), ("1", "a", "y", 3), ("1", "a", "x", 2), ("1", "b", "", 4), ("2", "a", None, 5),
         (None, "a", "n", 6), ("3", None, "n", 7),
     )
-    wide = unify.pivot_tags(tags)
+    wide = unify.pivot_tags(tags, unify.attribute_names(tags))
     assert wide.columns == ["car_id", "a", "b"]
     assert [tuple(r) for r in wide.collect()] == [("1", "x", "")]
     assert unify.pivot_tags(tags, ["b", "z"]).columns == ["car_id", "b", "z"]
     back = sorted(tuple(r) for r in unify.unpivot_tags(wide).collect())
     assert back == [("1", "a", "x"), ("1", "b", "")]
-    with pytest.raises(ValueError):
-        unify.attribute_names(tags, limit=1)
+    unordered = tag_rows(spark, ("1", "a", "alone", None), ("2", "a", "no", None), ("2", "a", "yes", 5))
+    assert {tuple(r) for r in unify.pivot_tags(unordered, ["a"]).collect()} == {("1", "alone"), ("2", "yes")}
 
 
 def test_pivot_shuffles_once_and_combines_first(spark, sf):
     plan = plan_of(unify.pivot_tags(adapters.tags(spark, sf), list(K.ATTRIBUTE_FEATURES)))
-    assert plan.count("hashpartitioning") == 1 and "partial_min_by" in plan
+    assert plan.count("hashpartitioning") == 1 and "partial_min" in plan
 
 
 def test_pivot_round_trip(spark, sf):
@@ -47,7 +47,7 @@ def test_pivot_round_trip(spark, sf):
 def test_left_join_and_clash(spark):
     cars = spark.createDataFrame([("1", "Kia"), ("2", "BMW")], "id string, brand string")
     for name in ("brand", "Brand"):
-        wide = unify.pivot_tags(tag_rows(spark, ("1", name, "x", 1), ("9", name, "y", 2)))
+        wide = unify.pivot_tags(tag_rows(spark, ("1", name, "x", 1), ("9", name, "y", 2)), [name])
         got = unify.unify_left_join(cars, wide)
         assert got.columns == ["id", "brand", f"tag_{name}"]
         assert sorted(tuple(r) for r in got.select("*").collect()) == [("1", "Kia", "x"), ("2", "BMW", None)]

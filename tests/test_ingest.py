@@ -71,7 +71,7 @@ def test_insert_ignore_keeps_the_first(spark):
 def test_conflict_rules_combine_before_the_shuffle(spark, sf):
     rows = adapters.tags(spark, sf)
     plan = plan_of(ingest.first_wins(rows, ["car_id", "attribute"], F.col("seq")))
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min" in plan and "Window" not in plan
 
 
 def test_pending_matches_set_difference(spark, sf):
@@ -187,3 +187,21 @@ def test_listing_tables_are_created_once(spark, tmp_path):
     finally:
         for name in ("items", "cars", "tags"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_null_orders_lose_to_known_ones(spark):
+    rows = spark.createDataFrame(
+        [("1", "x", None), ("2", "a", None), ("2", "b", 3), ("2", "c", 9), ("3", "y", 4), ("3", "z", 4)],
+        "k string, v string, seq long",
+    )
+    for parts in (1, 5):
+        dealt = rows.repartition(parts)
+        last = {r.k: r.v for r in ingest.last_wins(dealt, ["k"], F.col("seq")).collect()}
+        first = {r.k: r.v for r in ingest.first_wins(dealt, ["k"], F.col("seq")).collect()}
+        assert last == {"1": "x", "2": "c", "3": "z"} and first == {"1": "x", "2": "b", "3": "y"}
+
+
+def test_pages_without_a_range_have_totals_too(spark):
+    pages = spark.createDataFrame([(None, 1, 5), (None, 2, 6), (1, 1, 7)], "range_id long, page long, n_rows long")
+    got = sorted((r.range_id or 0, r.page, r.running_rows) for r in ingest.range_page_totals(pages).collect())
+    assert got == [(0, 1, 5), (0, 2, 11), (1, 1, 7)]

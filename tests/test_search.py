@@ -57,14 +57,19 @@ def test_pages_cover_the_matches_in_order(items):
     assert ids(search.page_after(rows, last["ingest_seq"], last["id"])) == want[24:48]
 
 
-def test_deep_pages_are_the_same(spark):
-    seqs = [i * i for i in range(200)] + [10_000] * 30 + [10**12]
+def test_deep_pages_and_null_orders(spark):
+    seqs = [i * i for i in range(200)] + [10_000] * 30 + [10**12] + [None] * 7
     rows = spark.createDataFrame([(s, f"{i:04d}") for i, s in enumerate(seqs)], "ingest_seq long, id string")
+    order = sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     for page in (2, 9, 20, 46, 47, 48, 10**6):
         want = [tuple(r) for r in search.paginate(rows, page, 5).collect()]
-        got = [tuple(r) for r in search.paginate(rows, page, 5, shallow=3).collect()]
-        assert got == want, page
-    assert search.paginate(rows.where("false"), 10, 5, shallow=3).collect() == []
+        assert want == order[(page - 1) * 5 : page * 5], page
+    assert search.paginate(rows.where("false"), 10, 5).collect() == []
+    walked, last = [], (None, "")
+    while part := [tuple(r) for r in search.page_after(rows, *last, 50).collect()]:
+        walked += part
+        last = part[-1]
+    assert walked == order
 
 
 def test_has_more(spark):
@@ -142,10 +147,11 @@ def test_facet_children_add_up(items):
     tree = facets.facet_tree(items).collect()
     makes = {r["make"]: r["n"] for r in facets.facet_make_counts(items).collect()}
     assert {t["name"]: t["count"] for t in tree} == makes
-    for t in tree:
-        assert sum(m["count"] for m in t["models"]) == t["count"]
-        names = [m["name"] for m in t["models"]]
-        assert names == sorted(names) and t["part"] == 0
+    for make in makes:
+        parts = sorted((t for t in tree if t["name"] == make), key=lambda t: t["part"])
+        names = [m["name"] for t in parts for m in t["models"]]
+        assert names == sorted(names) and len(names) == len(set(names))
+        assert sum(m["count"] for t in parts for m in t["models"]) == makes[make]
 
 
 def test_facets_of_typed_items_read_two_columns(items, stored):
@@ -155,14 +161,32 @@ def test_facets_of_typed_items_read_two_columns(items, stored):
     assert "ReadSchema: struct<make:string,model:string>" in plan_of(counts)
 
 
-def test_wide_make_is_dealt_over_parts_without_loss(items):
-    whole = {(t["name"], m["name"]): m["count"] for t in facets.facet_tree(items).collect() for m in t["models"]}
-    parts = facets.facet_tree(items, models_per_record=3).collect()
+def test_parts_follow_names_alone(items):
+    whole = {(t["name"], m["name"]): m["count"] for t in facets.facet_tree(items, 0).collect() for m in t["models"]}
+    parts = facets.facet_tree(items, 3).collect()
     dealt = {(t["name"], m["name"]): m["count"] for t in parts for m in t["models"]}
-    assert dealt == whole and max(t["part"] for t in parts) > 0
-    assert len(dealt) == sum(len(t["models"]) for t in parts)
-    makes = {r["make"]: r["n"] for r in facets.facet_make_counts(items).collect()}
-    assert all(t["count"] == makes[t["name"]] for t in parts)
+    assert dealt == whole and len(dealt) == sum(len(t["models"]) for t in parts)
+    assert all(m["name"].startswith(t["part"]) and len(t["part"]) <= 3 for t in parts for m in t["models"])
+
+
+def test_stored_items_skip_files_before_the_page(items, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    items.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        search.write_typed_items(items, str(tmp_path / "typed"))
+    finally:
+        items.sparkSession.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = []
+    for path in glob.glob(f"{tmp_path}/typed/*.parquet"):
+        for group in range((meta := pq.ParquetFile(path).metadata).num_row_groups):
+            column = next(c for c in map(meta.row_group(group).column, range(meta.num_columns))
+                          if c.path_in_schema == "ingest_seq")
+            spans.append((column.statistics.min, column.statistics.max))
+    spans.sort()
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_menus(spark):
