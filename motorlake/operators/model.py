@@ -86,8 +86,11 @@ def _encoding(side: str, prior: Column, out_of_fold: bool) -> Column:
     return (s + F.lit(SMOOTHING) * prior) / (n + F.lit(SMOOTHING))
 
 
-def encode_categoricals(rows: DataFrame, path: str, out_of_fold: bool) -> DataFrame:
-    """Adds one ``<feature>_enc`` column per category.
+def encode_categoricals(
+    rows: DataFrame, path: str, out_of_fold: bool, wanted: Sequence[str] = K.CATEGORICALS
+) -> DataFrame:
+    """Adds one ``<feature>_enc`` column per wanted category; of the other columns those
+    are read that the caller goes on to use.
 
     Each feature joins its own stored statistics, read as a table of its own so that Spark
     knows its size: it broadcasts the small ones, and a large one joins by key, where
@@ -98,9 +101,9 @@ def encode_categoricals(rows: DataFrame, path: str, out_of_fold: bool) -> DataFr
 
     # Each feature covers every training row, so the smallest one gives the overall mean.
     prior = stats("Taxed").agg((F.sum("s") / F.sum("n")).alias("prior")).scalar()
-    keyed = as_stored(rows).withColumns({"_prior": prior, "_fold": fold_of(F.col("id"))})
+    keyed = as_stored(rows, wanted).withColumns({"_prior": prior, "_fold": fold_of(F.col("id"))})
     encoded = keyed.alias("rows")
-    for name in K.CATEGORICALS:
+    for name in wanted:
         side = f"e_{name}"
         match = F.col(name) == F.col(f"{side}.category")
         encoded = encoded.join(stats(name).alias(side), match, "left")
@@ -108,7 +111,7 @@ def encode_categoricals(rows: DataFrame, path: str, out_of_fold: bool) -> DataFr
         "rows.*",
         *[
             _encoding(f"e_{name}", F.col("_prior"), out_of_fold).alias(f"{name}_enc")
-            for name in K.CATEGORICALS
+            for name in wanted
         ],
     ).drop("_prior", "_fold")
 
@@ -182,10 +185,11 @@ def price_estimates(scored: DataFrame, keep: Sequence[str] = ("id",)) -> DataFra
     return scored.select(*keep, "prediction", L.format_estimate(F.col("prediction")).alias("estimate"))
 
 
-def training_curve(model: PipelineModel, path: str, rows: DataFrame) -> DataFrame:
-    """(iter, RMSE) of the fitted trees on ``rows``: one value per boosting round."""
+def training_curve(model: PipelineModel, path: str, rows: DataFrame, out_of_fold: bool = False) -> DataFrame:
+    """(iter, RMSE) of the fitted trees on ``rows``: one value per boosting round. With
+    ``out_of_fold`` training rows are seen as the trainer saw them, and the error falls."""
     spark: SparkSession = rows.sparkSession
-    encoded = _model_input(encode_categoricals(rows, f"{path}/encoder", out_of_fold=False))
+    encoded = _model_input(encode_categoricals(rows, f"{path}/encoder", out_of_fold))
     vectors = model.stages[0].transform(encoded)
     errors = model.stages[1].evaluateEachIteration(vectors, "squared")
     pairs = [(i, float(e) ** 0.5) for i, e in enumerate(errors)]

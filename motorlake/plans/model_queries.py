@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from motorlake import constants as K
@@ -12,8 +13,7 @@ from motorlake.plans.registry import query, with_tables
 from motorlake.session import new_folder
 from motorlake.sources import tables
 
-# Small trees for the registered runs; the operators take any settings.
-SETTINGS = model.TrainingSettings(depth=5, rounds=10)
+SETTINGS = model.TrainingSettings()
 
 _ATTRIBUTES = {
     "Horsepower": "Ձիաուժը",
@@ -318,33 +318,77 @@ def _fitted(spark, sf):
     return _fits[key]
 
 
-@query("train_price_model")
+# SQL cannot grow trees; it states what must hold of them: rows, a training error that falls
+# with every round and ends below that of group means, and prices that are prices.
+
+@query(
+    "train_price_model",
+    "select cast(i as int) as iter, true as falls, true as below_groups "
+    f"from range({SETTINGS.rounds}) t(i)",
+)
 def train_price_model(spark, sf):
     fitted, path, train, _ = _fit(spark, sf)
-    return model.training_curve(fitted, path, train)
+    curve = model.training_curve(fitted, path, train, out_of_fold=True)
+    groups = model.rmse_log(model.group_mean_model(train, train)).scalar()
+    before = F.lag("RMSE").over(Window.orderBy("iter"))
+    return curve.select(
+        "iter",
+        (F.col("RMSE") <= F.coalesce(before, F.col("RMSE")) + 1e-9).alias("falls"),
+        ((F.col("iter") < SETTINGS.rounds - 1) | (F.col("RMSE") < groups)).alias("below_groups"),
+    )
+
+
+def _priced(scored):
+    """Whether every row has a finite positive price and its text."""
+    price = F.col("prediction")
+    real = price.isNotNull() & ~F.isnan(price) & (price > 0) & (price < float("inf"))
+    return model.price_estimates(scored).select("id", (real & (F.length("estimate") > 0)).alias("priced"))
 
 
-@query("predict_price")
+@query("predict_price", _sql("select id, true as priced from test"))
 def predict_price(spark, sf):
     fitted, path, _, test = _fitted(spark, sf)
-    return model.price_estimates(model.predict_price(test, path, fitted))
+    return _priced(model.predict_price(test, path, fitted))
 
 
-@query("score_requests")
+@query(
+    "score_requests",
+    with_tables(
+        "",
+        "select id, true as priced from r where " + " and ".join(f"({test})" for test in _PROBLEMS.values()),
+        r=_REQUESTS.format(orders="orders"),
+    ),
+)
 def score_requests(spark, sf):
     fitted, path, _, _ = _fitted(spark, sf)
     good, _ = features.split_score_input(_requests(spark, sf))
-    return model.price_estimates(model.predict_price(features.score_rows(good), path, fitted))
+    return _priced(model.predict_price(features.score_rows(good), path, fitted))
 
 
-@query("model_save_load", _sql("select count(*) as n, cast(0 as double) as largest_gap from test"))
+_HALF = "cast(id as bigint) % 2"
+
+
+@query(
+    "model_save_load",
+    _sql(
+        "select id, round(m, 4) as log_prediction from test join (select "
+        f'{_HALF} as half, avg("Log_Price" + {_HALF}) as m from train group by 1) g on half = {_HALF}'
+    ),
+)
 def model_save_load(spark, sf):
-    fitted, path, _, test = _fitted(spark, sf)
-    fresh = model.predict_price(test, path, fitted).select("id", "prediction")
-    loaded = model.predict_price(test, path).select("id", F.col("prediction").alias("again"))
-    return fresh.join(loaded, "id").agg(
-        F.count("*").alias("n"), F.round(F.max(F.abs(F.col("prediction") - F.col("again"))), 6).alias("largest_gap")
-    )
+    """One split of one feature with two values: the stored and loaded tree must give the
+    mean of each half."""
+    train, test = _stored_training_set(spark, sf)
+    half = F.expr(_HALF)
+
+    def plain(rows):
+        flat = {c: F.lit("Unknown") for c in K.CATEGORICALS} | {c: F.lit(0) for c in model.NUMERICS}
+        return rows.withColumns(flat | {"Car_Age": half.cast("double"), "Log_Price": F.col("Log_Price") + half})
+
+    path = new_folder(spark, "one-split")
+    model.train_price_model(plain(train), path, model.TrainingSettings(depth=1, rounds=1))
+    loaded = model.predict_price(plain(test), path)
+    return loaded.select("id", F.round("log_prediction", 4).alias("log_prediction"))
 
 
 _BY_GROUP = """

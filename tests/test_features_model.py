@@ -171,6 +171,16 @@ def test_encoding_against_brute_force(spark, tmp_path):
     assert model.encode_categoricals(unseen, path, False).first()["Make_enc"] == pytest.approx(prior)
 
 
+def test_an_encoding_reads_what_it_needs(spark, tmp_path):
+    frame, _ = feature_rows(spark)
+    frame.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    model.save_encoder(stored, str(tmp_path / "enc"))
+    one = model.encode_categoricals(stored, str(tmp_path / "enc"), True, ["Make"]).select("id", "Make_enc")
+    plan = plan_of(one)
+    assert "Wheel_Size" not in plan and plan.count("+- BroadcastHashJoin") == 1
+
+
 def test_trees_learn_save_and_score(spark, tmp_path):
     frame, _ = feature_rows(spark)
     train, test = model.train_test_split(frame)
