@@ -94,16 +94,39 @@ def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-def _write_buckets(rows: DataFrame, path: str) -> None:
-    """Replace the bucket folders these rows belong to, and no others.
+def _publish(rows: DataFrame, path: str, version: int) -> None:
+    """Write whole buckets as a new version, then say so in the table of versions.
 
-    Rebalancing puts a bucket into one task, and splits one that grew too large.
+    Rebalancing puts a bucket into one task, and splits one that grew too large. Readers see
+    a version once its one small file of bucket numbers is there; a run lost before that
+    leaves the table as it was, and the next one overwrites what it left.
     """
-    (
-        rows.hint("rebalance", "bucket")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket").parquet(path)
-    )
+    data = f"{path}/data/version={version}"
+    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(data)
+    written = rows.sparkSession.read.parquet(data).select("bucket").distinct()
+    written.withColumn("version", F.lit(version)).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
+def _newest(spark, path: str) -> list:
+    """(bucket, version) of every bucket: as many rows as the table has buckets."""
+    versions = spark.read.schema("bucket int, version int").parquet(f"{path}/versions")
+    return versions.groupBy("bucket").agg(F.max("version").alias("version")).collect()
+
+
+def _buckets_at(spark, path: str, newest: list) -> DataFrame:
+    by_version: dict[int, list[int]] = {}
+    for bucket, version in newest:
+        by_version.setdefault(version, []).append(bucket)
+    chosen = F.lit(False)
+    for version, buckets in sorted(by_version.items()):
+        chosen = chosen | ((F.col("version") == version) & F.col("bucket").isin(buckets))
+    return spark.read.parquet(f"{path}/data").where(chosen)
+
+
+def bucket_table(spark, path: str) -> DataFrame:
+    """The rows of a table stored in buckets: the newest version of each bucket. Only the
+    folders of those versions are read."""
+    return _buckets_at(spark, path, _newest(spark, path)).drop("version", "bucket")
 
 
 def store_in_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
@@ -111,7 +134,7 @@ def store_in_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: i
 
     Keep the bucket count for the life of the table; a bucket of about 1 GB is a good size.
     """
-    _write_buckets(_bucketed(rows, keys, buckets), path)
+    _publish(_bucketed(rows, keys, buckets), path, 0)
 
 
 def upsert_in_place(
@@ -119,17 +142,17 @@ def upsert_in_place(
 ) -> None:
     """``upsert_latest`` on a stored table, at the cost of the buckets the batch touches.
 
-    Spark writes the new folders aside and moves them when the job commits, so the buckets
-    may be read while they are replaced. A lost executor only costs its tasks; running the
-    same batch again gives the same table. A driver lost while folders move can leave a
-    bucket without its files: where that must not happen, write whole new versions or use
-    the batch log. The batch is read more than once: store it first if it is dear to compute.
+    Those buckets are written anew beside the old ones, which readers go on using until the
+    new version is published. Running the same batch again gives the same table. The batch
+    is read more than once: store it first if it is dear to compute.
     """
     spark = batch.sparkSession
-    stored = spark.read.parquet(path)
-    newest = _bucketed(last_wins(batch, keys, F.col(position)), keys, buckets)
-    touched = stored.join(newest.select("bucket").distinct(), "bucket", "left_semi")
-    _write_buckets(upsert_latest(touched.select(*stored.columns), newest, keys, position), path)
+    newest = _newest(spark, path)
+    stored = _buckets_at(spark, path, newest).drop("version")
+    latest = _bucketed(last_wins(batch, keys, F.col(position)), keys, buckets)
+    touched = stored.join(latest.select("bucket").distinct(), "bucket", "left_semi")
+    merged = upsert_latest(touched.select(*stored.columns), latest, keys, position)
+    _publish(merged, path, max([version for _, version in newest], default=-1) + 1)
 
 
 def null_key_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -153,7 +153,7 @@ def upsert_in_place(spark, sf):
     path = new_folder(spark, "items-buckets")
     ingest.store_in_buckets(adapters.items(spark, sf), path, ["id"], 16)
     ingest.upsert_in_place(path, _posted(spark, sf), ["id"], "pos", 16)
-    return spark.read.parquet(path).select("id", "l_text", "p_text", "ingest_seq")
+    return ingest.bucket_table(spark, path).select("id", "l_text", "p_text", "ingest_seq")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,8 +33,8 @@ def local_session(cores: str = "*", app: str = "motorlake", **conf: str) -> Spar
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder: there driver and tasks
-    share one machine. A cluster without ``spark.checkpoint.dir`` is an error.
+    Only a local master may fall back to a temporary folder, removed when Python ends: there
+    driver and tasks share one machine. A cluster without ``spark.checkpoint.dir`` is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -43,6 +45,7 @@ def shared_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="motorlake-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
         context.setCheckpointDir(_local_roots[app])
     return _local_roots[app]
 

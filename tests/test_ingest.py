@@ -160,16 +160,20 @@ def test_upsert_in_place_touches_only_its_buckets(spark, tmp_path):
     ingest.store_in_buckets(items(spark, *rows), str(path), ["id"], 32)
 
     def files():
-        return {p.relative_to(path) for p in path.rglob("*.parquet")}
+        return {p.relative_to(path / "data") for p in (path / "data").rglob("*.parquet")}
 
     before = files()
     batch = items(spark, ("7", "$a", "new", 300), ("7", "$b", "new", 301), ("new", "$c", "new", 302))
-    for _ in range(2):
+    for turn in (1, 2):
         ingest.upsert_in_place(str(path), batch, ["id"], "ingest_seq", 32)
-        got = {r["id"]: r["p_text"] for r in spark.read.parquet(str(path)).collect()}
+        got = {r["id"]: r["p_text"] for r in ingest.bucket_table(spark, str(path)).collect()}
         assert got == {**{k: p for k, p, _, _ in rows}, "7": "$b", "new": "$c"}
-    gone = {f.parts[0] for f in before - files()}
-    assert 1 <= len(gone) <= 2
+        fresh = {f.parts[1] for f in files() if f.parts[0] == f"version={turn}"}
+        assert before <= files() and 1 <= len(fresh) <= 2
+    # A run that was lost before it published its buckets changes nothing.
+    items(spark, ("7", "$z", "lost", 999)).withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(
+        str(path / "data" / "version=3"))
+    assert {r["id"]: r["p_text"] for r in ingest.bucket_table(spark, str(path)).collect()} == got
 
 
 def test_listing_tables_are_created_once(spark, tmp_path):
