@@ -12,8 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from motorlake import constants as K
-from motorlake.functions.text import BLANK_CLASS, BLANKS, strip, to_number
+from motorlake.functions.text import BLANK_CLASS, strip, to_number
 
+# How a mileage and the digits of a price are written.
 MILEAGE = rf"(?i)([\p{{Nd}},]+){BLANK_CLASS}*(km|miles|mi)"
 PRICE_DIGITS = r"(\p{Nd}+)"
 
@@ -82,9 +83,9 @@ def price_usd(p_text: Column, rates: Mapping[str, float] = K.DEFAULT_RATES) -> C
 
 def mileage_km(at_text: Column) -> Column:
     """Kilometres as a whole number; 0 when the text states none."""
-    hit = F.regexp_extract(at_text, MILEAGE, 0)
-    number = to_number(F.translate(hit, "kmilesKMILES," + BLANKS, ""))
-    unit = F.when(F.lower(hit).contains("mi"), K.MILE_IN_KM).otherwise(1.0)
+    number = to_number(F.replace(F.regexp_extract(at_text, MILEAGE, 1), F.lit(","), F.lit("")))
+    miles = F.lower(F.regexp_extract(at_text, MILEAGE, 2)) != "km"
+    unit = F.when(miles, K.MILE_IN_KM).otherwise(1.0)
     return F.coalesce((number * unit).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 

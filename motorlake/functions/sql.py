@@ -10,30 +10,22 @@ from pyspark.sql import SparkSession
 
 from motorlake import constants as K
 from motorlake.functions.listing import MILEAGE, PRICE_DIGITS
-from motorlake.functions.text import BLANKS, OTHER_DIGITS, OTHER_DIGITS_AS_ASCII
+from motorlake.functions.text import OTHER_DIGITS, OTHER_DIGITS_AS_ASCII
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _codes(text: str) -> str:
-    """A string literal spelled by code points, safe for blanks and control characters."""
-    return "concat(" + ", ".join(f"char({ord(c)})" if ord(c) < 256 else _quoted(c) for c in text) + ")"
-
-
 def _to_number(digits: str) -> str:
     latin = f"translate({digits}, {_quoted(OTHER_DIGITS)}, {_quoted(OTHER_DIGITS_AS_ASCII)})"
     return f"coalesce(try_cast({digits} as double), try_cast({latin} as double))"
 
 
 def _get_km() -> str:
-    hit = f"regexp_extract(at_text, {_quoted(MILEAGE)}, 0)"
-    number = _to_number(f"translate({hit}, {_codes('kmilesKMILES,' + BLANKS)}, '')")
-    return (
-        f"coalesce(try_cast(if(contains(lower({hit}), 'mi'), {number} * {K.MILE_IN_KM}D, "
-        f"{number}) as bigint), 0L)"
-    )
+    number = _to_number(f"replace(regexp_extract(at_text, {_quoted(MILEAGE)}, 1), ',', '')")
+    unit = f"lower(regexp_extract(at_text, {_quoted(MILEAGE)}, 2))"
+    return f"coalesce(try_cast(if({unit} <> 'km', {number} * {K.MILE_IN_KM}D, {number}) as bigint), 0L)"
 
 
 _CLEAN = "replace(p_text, ',', '')"

@@ -180,3 +180,22 @@ def test_convert(spark):
     assert [r[0] for r in got] == [800.0, 0.0, 0.0, 20.0, 10.0]
     bounds = rows.select(L.bound_to_usd(F.col("a"), F.col("f"))).collect()
     assert [r[0] for r in bounds] == [200.0, None, None, 10.0, 10.0]
+
+
+def test_sql_functions_agree_with_the_columns(spark):
+    """Both spellings of the price, mileage and fuel rules, over the same texts."""
+    from motorlake.functions import sql
+
+    sql.register_functions(spark)
+    texts = [
+        "Yerevan, 12,000 km, Diesel", "1 mi", "5,5 MILES", "٣٤ km", ", km", "km", "12 kmh, 7 mi", "7 000 km", "7\u00a0km",
+        "99999999999999999999 km", "$1,234", "12 500 ֏", "€ 7", "RUB 5 USD 6", "AMD", "N/A 5", "", None, "1.5 km", "Electric, LPG",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(
+        F.expr("get_km(t)") == L.mileage_km(F.col("t")),
+        F.expr("price_currency(t)").eqNullSafe(L.price_currency(F.col("t"))),
+        F.expr("get_price_usd(t, 2D)").eqNullSafe(L.price_value(F.col("t")) / 2),
+        F.expr("check_fuel(t, 'diesel, lpg')").eqNullSafe(F.coalesce(L.fuel_matches(F.col("t"), "diesel, lpg"), F.lit(False))),
+    )
+    assert all(all(r) for r in got.collect())
