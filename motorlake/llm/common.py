@@ -16,14 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(rows: DataFrame, label: str) -> DataFrame:
+def saved(rows: DataFrame, label: str, level: int = 3) -> DataFrame:
     """Write rows to the folder all executors share and read them back.
 
     Cuts the lineage: an executor lost later costs a re-read, not a recomputation, and
-    values such as row numbers stay what they were.
+    values such as row numbers stay what they were. ``level`` is that of the compression.
     """
     path = new_folder(rows.sparkSession, label)
-    rows.write.option("compression", "zstd").parquet(path)
+    writer = rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level)
+    writer.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -59,7 +60,7 @@ def keyed(docs: DataFrame, label: str, **columns: Column) -> DataFrame:
 _LOCAL = (1 << 33) - 1
 
 
-def placed(rows: DataFrame, label: str, position: str = "position") -> DataFrame:
+def placed(rows: DataFrame, label: str, position: str = "position", level: int = 3) -> DataFrame:
     """Rows numbered from 0 without a gap, in the order of their partitions, and stored.
 
     Every task numbers its own rows; the offsets, one row per task of that job, are summed
@@ -71,6 +72,7 @@ def placed(rows: DataFrame, label: str, position: str = "position") -> DataFrame
             "__local", F.col("__id").bitwiseAND(F.lit(_LOCAL))
         ).drop("__id"),
         label,
+        level,
     )
     before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("__task").agg(F.count("*").alias("n"))

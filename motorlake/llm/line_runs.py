@@ -81,7 +81,9 @@ def earlier_prefixes(levels: list[DataFrame]) -> DataFrame:
         first_rows = firsts.join(ranks, there).select(*interval, F.col("fd").alias("d"), F.col("fp").alias("p"))
         members = going.filter("r is not null").select(*interval, "d", "p").unionByName(first_rows)
         best = members.groupBy(*interval).agg(F.min(F.struct("d", "p")).alias("best"), F.count("*").alias("n"))
-        longer = going.join(best.filter("n > 1").drop("n"), interval, "left")
+        # Stored, not joined where it was grouped: Spark can then split a common interval.
+        best = saved(best.filter("n > 1").drop("n"), "intervals")
+        longer = going.join(best, interval, "left")
         late = F.coalesce(F.col("best") < F.struct("d", "p"), F.lit(False))
         state = saved(
             longer.select(

@@ -72,7 +72,7 @@ def sequences(docs: DataFrame, key: str, text: str, length: int, vocabulary: byt
             yield rows()
 
     rows = docs.select(F.col(key).cast("string").alias("doc_id"), clean_text(text).alias("text"))
-    return placed(rows.mapInPandas(pack, f"{_PARTS}, n_tokens int, ids binary"), "sequences")
+    return placed(rows.mapInPandas(pack, f"{_PARTS}, n_tokens int, ids binary"), "sequences", level=9)
 
 
 # ---------------------------------------------------------------- the permutation
