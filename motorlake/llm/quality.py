@@ -195,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
                 own, _, _ = line_features([text])
                 place = zlib.crc32(str(doc_id).encode()) % max(1, len(own) - TRAIN_LINES + 1)
                 rows.append((str(doc_id), kind, own[place : place + TRAIN_LINES].tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "label", "own"])
+            yield pd.DataFrame(rows, columns=["doc_id", "label", "own"], dtype=object)
 
     rows = sorted(sample.mapInPandas(measure, "doc_id string, label int, own binary").collect())
     own = [np.frombuffer(r.own, dtype=np.float32).reshape(-1, FEATURES) for r in rows]

@@ -34,13 +34,15 @@ TRAIN_DOCS = 12_000
 THRESHOLD = 0.3
 MODULUS, HELD = 4, 2
 SUPPORT = 4  # toxic documents a mined term needs,
-SHARE = 0.02  # and their share of all toxic ones
+SHARE = 0.01  # and their share of all toxic ones
 RATIO = 200  # times a mined term is likelier in toxic documents than in others
 LEAST_GAIN = 20.0  # likelihood ratio statistic a mined term needs
 MOST_TERMS = 250
 STEMS = (4, 5, 6)  # lengths of word beginnings
+REPEATS = 0.4  # correlation inside a class from which a voter repeats another
 _SLICE = 500  # documents whose terms are counted together
 _WORDS = re.compile(r"\w+")
+_STRETCHED, _REPEATED = re.compile(r"(.)\1\1"), re.compile(r"(.)\1+")
 
 # Insults in the languages of the corpus.
 LEXICON = (
@@ -64,11 +66,17 @@ def words_of(text: str) -> list[str]:
 
 
 def _least_hash(text):
-    """Column with the least hash of a text's words: equal for most near copies."""
+    """Column with the least hash of a text's three-word shingles: equal for most near
+    copies, and for hardly any other texts."""
+
+    def least(value: str) -> int:
+        words = words_of(value)
+        shingles = zip(words, words[1:], words[2:]) if len(words) > 2 else [words]
+        return min(zlib.crc32(" ".join(s).encode()) for s in shingles)
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([min((zlib.crc32(w.encode()) for w in set(words_of(t))), default=-1) for t in texts], dtype="int64")
+        return pd.Series([least(t) for t in texts], dtype="int64")
 
     return run(text)
 
@@ -83,7 +91,7 @@ def _count_terms(docs: DataFrame, wanted: set[str] | None) -> DataFrame:
                 for text in batch["text"].iloc[start : start + _SLICE]:
                     terms = mined_terms(set(words_of(text)))
                     seen.update(terms if wanted is None else terms & wanted)
-                yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+                yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, dtype=object)
 
     return docs.select("text").mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -127,6 +135,12 @@ class Voters:
         self.stems = {t[:-1]: i for t, i in self.place.items() if t.endswith("*")}
         self.lexicon = set(LEXICON)
 
+    def _hidden(self, word: str) -> bool:
+        """Whether digits stand for letters of a lexicon word, or its letters are stretched."""
+        if not word.isalpha() and word.translate(DIGITS) in self.lexicon:
+            return True
+        return bool(_STRETCHED.search(word)) and _REPEATED.sub(r"\1", word) in self.lexicon
+
     def marks(self, text: str) -> tuple[list[int], int, int]:
         """Voters that fire, hits in all, words in all."""
         words = words_of(text)
@@ -145,11 +159,8 @@ class Voters:
             if word in self.lexicon:
                 fired.add(terms)
                 hit = True
-            elif not word.isalpha() and word.translate(DIGITS) in self.lexicon:
-                fired.add(terms + 1)
-                hit = True
-            elif re.search(r"(.)\1\1", word) and re.sub(r"(.)\1+", r"\1", word) in self.lexicon:
-                fired.add(terms + 1)
+            elif self._hidden(word):  # a lexicon word all the same
+                fired.update((terms, terms + 1))
                 hit = True
             hits += n * hit
         return sorted(fired), hits, len(words)
@@ -191,7 +202,7 @@ def label_model(fires: np.ndarray, label: np.ndarray, rounds: int = 12) -> tuple
             spread = np.sqrt(np.maximum(np.diag(cover), 1e-6))
             together = np.maximum(together, cover / spread[:, None] / spread[None, :])
         np.fill_diagonal(together, 0)
-        share = 1 / (1 + np.where(together > 0.2, together, 0).sum(axis=1))
+        share = 1 / (1 + np.where(together > REPEATS, together, 0).sum(axis=1))
         odds_fire = np.log(rate[1] / rate[0])
         odds_not = np.log((1 - rate[1]) / (1 - rate[0]))
         logit = np.log(size[1] + 1) - np.log(size[0] + 1)
@@ -234,8 +245,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         for batch in batches:
             rows = [voters.marks(t) for t in batch["text"]]
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype(str), "label": batch["label"], "fired": [r[0] for r in rows],
-                 "hits": [r[1] for r in rows], "words": [r[2] for r in rows]}
+                [(str(i), k, *r) for i, k, r in zip(batch["doc_id"], batch["label"], rows)],
+                columns=["doc_id", "label", "fired", "hits", "words"], dtype=object,
             )
 
     schema = "doc_id string, label int, fired array<int>, hits long, words long"
