@@ -125,7 +125,7 @@ class TrainingSettings:
 
     depth: int = K.TREE_DEPTH
     rate: float = K.LEARNING_RATE
-    rounds: int = 20
+    rounds: int = 100
     min_rows_per_leaf: int = 5
     bins: int = 128
     row_share: float = 1.0

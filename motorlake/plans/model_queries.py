@@ -365,6 +365,21 @@ def score_requests(spark, sf):
     return _priced(model.predict_price(features.score_rows(good), path, fitted))
 
 
+# What the model says, beside the facts above. SQL has no counterpart.
+
+@query("price_predictions")
+def price_predictions(spark, sf):
+    fitted, path, _, test = _fitted(spark, sf)
+    return model.price_estimates(model.predict_price(test, path, fitted))
+
+
+@query("request_estimates")
+def request_estimates(spark, sf):
+    fitted, path, _, _ = _fitted(spark, sf)
+    good, _ = features.split_score_input(_requests(spark, sf))
+    return model.price_estimates(model.predict_price(features.score_rows(good), path, fitted))
+
+
 _HALF = "cast(id as bigint) % 2"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from motorlake import constants as K
 from motorlake import schemas
 from motorlake.operators import features, model, unify
-from motorlake.plans import adapters
+from motorlake.plans import adapters, registry
 from motorlake.sources import tables
 
 
@@ -202,6 +202,18 @@ def test_trees_learn_save_and_score(spark, tmp_path):
     assert len(curve) == 8 and curve[-1]["RMSE"] < curve[0]["RMSE"]
 
 
+def test_registered_model_is_whole_and_shows_its_prices(spark, sf):
+    from motorlake.plans import model_queries as registered
+
+    assert registered.SETTINGS == model.TrainingSettings() and registered.SETTINGS.rounds == 100
+    fitted, *_ = registered._fitted(spark, sf)
+    assert fitted.stages[1].getNumTrees == 100
+    for facts, shown in (("predict_price", "price_predictions"), ("score_requests", "request_estimates")):
+        rows = registry.QUERIES[shown](spark, sf)
+        assert rows.columns == ["id", "prediction", "estimate"]
+        assert rows.where("prediction > 0 and estimate <> ''").count() == registry.QUERIES[facts](spark, sf).where("priced").count()
+
+
 def test_learning_curve_file(spark, tmp_path):
     path = str(tmp_path / "curve")
     rows = spark.createDataFrame([(0, 0.28), (1, 0.25), (2, 0.29), (3, 0.25)], "iter int, RMSE double")
