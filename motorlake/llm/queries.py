@@ -15,12 +15,13 @@ from motorlake.llm import (
     simhash,
     token_shards,
     toxicity,
+    tree_queries,
     warc,
 )
 from motorlake.llm.common import table
 from motorlake.llm.registry import ORACLES, QUERIES, query
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "tree_queries"]
 
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
