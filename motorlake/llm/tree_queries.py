@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from motorlake.llm import merkle
+from motorlake.llm import merkle, trie
 from motorlake.llm.common import table
 from motorlake.llm.registry import query
 
@@ -92,3 +92,49 @@ def _folds(name: str, nodes: str, start: str) -> str:
 )
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_prefix_trie",
+    oracle=f"""
+    with recursive {_CRC_TABLE},
+    said as (
+      select conv_id, turn, strlen(coalesce(text, '')) as bytes,
+        left(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) as id
+      from conversations where conv_id is not null),
+    turns as (
+      select *, row_number() over (partition by conv_id order by turn nulls first, id) - 1 as i from said),
+    owned as (select conv_id, count(*) as n from turns group by conv_id),
+    convs as (
+      select conv_id, n, conv_id - conv_id % 5 as base, {_crc32("cast(conv_id as varchar)")} % 9 as h
+      from owned, crc_table),
+    rebuilt as (
+      select c.conv_id, i + 1 as d, id, bytes from convs c join turns t on t.conv_id = c.base and i < h
+      union all
+      select c.conv_id, least(h, coalesce(o.n, 0)) + i - h + 1, id, bytes
+      from convs c join turns t on t.conv_id = c.conv_id and i >= h left join owned o on o.conv_id = c.base),
+    whole as (
+      select c.conv_id, list(id order by d) filter (d is not null) as ids, count(d) as len
+      from convs c left join rebuilt r on c.conv_id = r.conv_id group by c.conv_id),
+    deep as (select conv_id, ids, len, unnest(range(0, len + 1)) as d from whole),
+    prefixes as (
+      select p.conv_id, p.d, len, coalesce(array_to_string(ids[1 : p.d], ''), '') as k, coalesce(bytes, 0) as bytes
+      from deep p left join rebuilt r on p.conv_id = r.conv_id and p.d = r.d),
+    nodes as (
+      select d, k, min(conv_id) as conv_id, count(*) as n, max(bytes) as bytes, max(len) = d as childless,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len = d), '')) as ends_sha256
+      from prefixes group by d, k),
+    below as (
+      select p.d, p.k, sum((a.n - 1) * a.bytes) as saved_tokens, count(*) filter (a.childless) as n_leaves,
+        count(*) filter (a.d = p.d + 1) as n_children
+      from nodes a join prefixes p on p.conv_id = a.conv_id and p.d <= a.d group by p.d, p.k)
+    select nodes.conv_id, nodes.d as depth, parent.conv_id as parent_conv_id, nodes.n as n_convs,
+      cast(n_children as bigint) as n_children, cast(n_leaves as bigint) as n_leaves,
+      cast(saved_tokens as bigint) as saved_tokens, nodes.ends_sha256
+    from nodes join below using (d, k)
+      left join prefixes up on up.conv_id = nodes.conv_id and up.d = nodes.d - 1
+      left join nodes parent on parent.d = up.d and parent.k = up.k
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
