@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from motorlake.llm import merkle, trie
+from motorlake.llm import merkle, packing, trie
 from motorlake.llm.common import table
 from motorlake.llm.registry import query
 
@@ -138,3 +138,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_best_fit_packing")
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).drop("row_id", "ids")
