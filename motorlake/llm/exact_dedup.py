@@ -1,16 +1,18 @@
 """Exact dedup against an index of digests already seen.
 
 The index is a minimal perfect hash over the distinct digests of a history table. It is
-split into shards by the leading digits of the digest; SHA-256 spreads them evenly, and a
-shard holds about ``SHARD_KEYS`` of them whatever the table's size. In a shard every digest
+split into shards by the leading digits of the digest; SHA-256 spreads them evenly, and there
+are so many shards that one holds about ``SHARD_KEYS`` digests of the history and about as
+many that arrive, whichever are more, whatever the tables' sizes. In a shard every digest
 owns one slot, and the slot keeps the whole digest and the locator of its winner (code
 points, id, row). A lookup hashes to a slot and compares all 32 bytes: equal means repeat,
 anything else is no member. Digests that are no members are grouped among themselves.
 
 Texts are equal when they agree after deleting the white space of ``common.SPACES``; a null
 text counts as empty. Of equal texts the row with most code points stays, then the smallest
-id (null ids last), then the first stored row, so that of fully repeated rows one stays. An
-empty table gives an empty result.
+id (null ids last), then the first stored row, so that of fully repeated rows one stays. Ids
+are integers (other types are cast, and a cast that fails is an error); tasks carry them as
+text, so that a null beside them changes nothing. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ _LOAD = 1.7  # bits per key on a level
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64
 )
-_SLOTS = "shard int, levels array<binary>, digests binary, chars array<long>, ids array<long>, rows array<long>, counts array<long>"
-_WINNERS = "text_sha256 string, chars long, keep_id long, keep_row long, group_size long"
+_SLOTS = "shard int, levels array<binary>, digests binary, chars array<long>, ids array<string>, rows array<long>, counts array<long>"
+_WINNERS = "text_sha256 string, chars long, keep_id string, keep_row long, group_size long"
 
 
 def digested(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -69,8 +71,12 @@ def as_words(digests: pd.Series) -> np.ndarray:
 
 
 def _position(words: np.ndarray, level: int, size: int) -> np.ndarray:
+    """Where each key falls on a level. The level enters every word before they are summed, so
+    keys whose sums agree on one level part on another."""
     with np.errstate(over="ignore"):
-        h = (words * _FACTORS).sum(axis=1, dtype=np.uint64) + np.uint64(level + 1) * _FACTORS[3]
+        mixed = (words ^ (np.uint64(level + 1) * _FACTORS[::-1])) * _FACTORS
+        mixed ^= mixed >> np.uint64(31)
+        h = (mixed * _FACTORS[[1, 2, 3, 0]]).sum(axis=1, dtype=np.uint64)
         h ^= h >> np.uint64(32)
         h *= _FACTORS[1]
         h ^= h >> np.uint64(29)
@@ -99,11 +105,11 @@ def slots_of(words: np.ndarray, levels: list[bytes]) -> np.ndarray:
     left, before = np.arange(len(words)), 0
     for depth, packed_bits in enumerate(levels):
         bits = np.unpackbits(np.frombuffer(packed_bits, dtype=np.uint8))
-        rank = np.cumsum(bits) - 1
+        rank = np.cumsum(bits, dtype=np.int64) - 1
         place = _position(words[left], depth, len(bits))
         hit = bits[place] == 1
         out[left[hit]] = before + rank[place[hit]]
-        before += int(rank[-1]) + 1
+        before += int(bits.sum(dtype=np.int64))
         left = left[~hit]
     return out
 
@@ -113,38 +119,55 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     levels = build_levels(words)
     order = np.argsort(slots_of(words, levels))
     placed = group.iloc[order]
-    ids = [None if pd.isna(x) else int(x) for x in placed["keep_id"]]
     return pd.DataFrame(
         {
             "shard": [int(group["shard"].iloc[0])],
             "levels": [levels],
             "digests": [words[order].tobytes()],
             "chars": [placed["chars"].tolist()],
-            "ids": [ids],
+            "ids": [placed["keep_id"].tolist()],
             "rows": [placed["keep_row"].tolist()],
             "counts": [placed["group_size"].tolist()],
         }
     )
 
 
+def shards_for(*numbers: int) -> int:
+    """How many shards keep all of these numbers of digests near ``SHARD_KEYS`` a shard."""
+    return max(numbers) // SHARD_KEYS + 1
+
+
 def build_index(history: DataFrame, shards: int | None = None) -> tuple[DataFrame, int]:
     """The index of ``digested`` rows: one stored row per shard, and the number of shards."""
     best = saved(best_of(history), "history")
-    shards = shards or best.count() // SHARD_KEYS + 1
-    dealt = best.withColumn("shard", shard_of("text_sha256", shards))
-    return saved(dealt.groupBy("shard").applyInPandas(_build, _SLOTS), "index"), shards
+    shards = shards or shards_for(best.count())
+    return index_of(best, shards), shards
+
+
+def index_of(best: DataFrame, shards: int) -> DataFrame:
+    """The index of a history's best rows."""
+    return saved(_dealt(best, shards).groupBy("shard").applyInPandas(_build, _SLOTS), "index")
+
+
+def _dealt(best: DataFrame, shards: int) -> DataFrame:
+    return best.withColumns({"shard": shard_of("text_sha256", shards), "keep_id": F.col("keep_id").cast("string")})
+
+
+def _rank(row) -> tuple:
+    """The order of rows of one digest (digest, chars, id, row, ...): the first stays."""
+    return -row[1], row[2] is None, int(row[2] or 0), row[3]
 
 
 def _lookup(_key, slots: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
     """All digests of a shard: each slot with what arrived for it, then the non-members."""
     columns = ["text_sha256", "chars", "keep_id", "keep_row", "group_size"]
-    fresh = [tuple(None if pd.isna(v) else v for v in row) for row in new[columns].itertuples(index=False)]
+    fresh = list(new[columns].itertuples(index=False, name=None))
     if not len(slots):
         return pd.DataFrame(fresh, columns=columns, dtype=object)
     index = slots.iloc[0]
     held = np.frombuffer(index["digests"], dtype=np.uint64).reshape(-1, 4)
     rows = [
-        [bytes(h.tobytes()).hex(), int(c), None if i is None or i != i else int(i), int(r), int(n)]
+        [h.tobytes().hex(), int(c), i, int(r), int(n)]
         for h, c, i, r, n in zip(held, index["chars"], index["ids"], index["rows"], index["counts"])
     ]
     if fresh:
@@ -157,24 +180,28 @@ def _lookup(_key, slots: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
                 rows.append(list(row))
                 continue
             old = rows[place]
-            rank = lambda r: (-r[1], r[2] is None, r[2] or 0, r[3])
             size = old[4] + row[4]
-            rows[place] = [*(old if rank(old) <= rank(row) else row)]
+            rows[place] = [*min(old, row, key=_rank)]
             rows[place][4] = size
     return pd.DataFrame(rows, columns=columns, dtype=object)
 
 
 def winners(index: DataFrame, shards: int, arrivals: DataFrame) -> DataFrame:
     """One row per distinct digest of history and arrivals together."""
-    new = best_of(arrivals).withColumn("shard", shard_of("text_sha256", shards))
-    return index.groupBy("shard").cogroup(new.groupBy("shard")).applyInPandas(_lookup, _WINNERS)
+    return _met(index, shards, best_of(arrivals))
+
+
+def _met(index: DataFrame, shards: int, new: DataFrame) -> DataFrame:
+    grouped = index.groupBy("shard").cogroup(_dealt(new, shards).groupBy("shard"))
+    return grouped.applyInPandas(_lookup, _WINNERS).withColumn("keep_id", F.col("keep_id").cast("long"))
 
 
 def deduplicate(history: DataFrame, arrivals: DataFrame) -> DataFrame:
     """Every row of both tables (as ``digested``, row ids unique over both) with the row
     that stays for it, the size of its group and whether it is the one that stays."""
-    index, shards = build_index(history)
-    stay = winners(index, shards, arrivals).withColumnRenamed("chars", "keep_chars")
+    known, new = saved(best_of(history), "history"), saved(best_of(arrivals), "arrivals")
+    shards = shards_for(known.count(), new.count())
+    stay = _met(index_of(known, shards), shards, new).withColumnRenamed("chars", "keep_chars")
     rows = history.unionByName(arrivals).join(stay, "text_sha256")
     return rows.select(
         "doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"),

@@ -55,6 +55,61 @@ def test_exact_dedup_of_nothing(spark):
     assert exact_dedup.deduplicate(*exact_dedup.batches(rows)).collect() == []
 
 
+LARGE = [
+    (2**53 + 1, "one text"), (2**53 + 2, "one text "), (None, "one  text "), (2**53 + 7, "other"), (2**53 + 8, "another"),
+    (None, "alone"), (2**62 + 3, "third"), (2**62 + 1, "thi rd"), (2**62 + 5, "third"), (-(2**60) - 1, "third"),
+]
+
+
+@pytest.mark.parametrize("first", [0, 3, len(LARGE)])
+def test_large_ids_beside_nulls(spark, first):
+    """Whatever is history and what arrives, an empty history included."""
+    rows = exact_dedup.digested(docs_of(spark, LARGE).coalesce(1))
+    order = [r.row_id for r in rows.orderBy("row_id").collect()]
+    cut = order[first] if first < len(order) else order[-1] + 1
+    found = exact_dedup.deduplicate(rows.filter(F.col("row_id") < cut), rows.filter(F.col("row_id") >= cut))
+    got = {r.row_id: r for r in found.collect()}
+    for n, ((_, no_id, keep, stays), size) in exact_brute(LARGE).items():
+        row = got[order[n]]
+        assert (row.doc_id, row.keep_id, row.group_size) == (LARGE[n][0], None if no_id else keep, size)
+        assert row.kept == (n == stays)
+
+
+def test_shards_follow_the_larger_side():
+    n = exact_dedup.SHARD_KEYS
+    assert exact_dedup.shards_for(0, 0) == 1
+    assert exact_dedup.shards_for(0, 10 * n) == exact_dedup.shards_for(10 * n, 3) == 11
+
+
+@pytest.mark.parametrize("size, shards", [(1, 50), (2, 500), (3, 500), (10, 500), (100, 250), (1000, 200), (50_000, 200)])
+def test_every_shard_gets_a_minimal_hash(size, shards):
+    for seed in range(shards):
+        words = np.random.default_rng([size, seed]).integers(0, 2**64, (size, 4), dtype=np.uint64)
+        slots = exact_dedup.slots_of(words, exact_dedup.build_levels(words))
+        assert (np.bincount(slots, minlength=size) == 1).all() and len(slots) == size
+
+
+def test_keys_that_differ_in_one_bit_part():
+    base = np.random.default_rng(8).integers(0, 2**64, 4, dtype=np.uint64)
+    words = np.tile(base, (257, 1))
+    for bit in range(256):
+        words[bit, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    slots = exact_dedup.slots_of(words, exact_dedup.build_levels(words))
+    assert sorted(slots) == list(range(257))
+
+
+def test_a_level_without_a_lone_key():
+    """Two keys that meet on the first level: it has no bit, and the next one parts them."""
+    for seed in range(3000):
+        words = np.random.default_rng(seed).integers(0, 2**64, (2, 4), dtype=np.uint64)
+        levels = exact_dedup.build_levels(words)
+        if len(levels) > 1:
+            assert not any(levels[0])
+            assert sorted(exact_dedup.slots_of(words, levels)) == [0, 1]
+            return
+    raise AssertionError("no such pair")
+
+
 def test_hash_is_minimal_and_knows_strangers():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 2**63, (5000, 4), dtype=np.int64).view(np.uint64)
