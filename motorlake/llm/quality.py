@@ -5,29 +5,27 @@ those of its neighbours. The field gives each line the probability of being good
 forward-backward over the whole document; the document's score is the mean of these,
 weighted by line length.
 
-Fitting: at most ``TRAIN_DOCS`` labelled documents that are not held out; every line carries
-its document's label. Only features reach the driver, of at most ``TRAIN_LINES`` lines in a
-row per document, from a place chosen by the hash of the id. Scoring reads whole texts. The
-score is a function of the text alone. A null or empty text is one empty line and gets a
+Fitting: at most ``TRAIN_DOCS`` labelled documents that are not held out, and no more of them
+than hold ``TRAIN_LINES`` lines together; they are read whole, and every line carries its
+document's label. Only features reach the driver. Scoring reads whole texts. The score is a function of the text alone. A null or empty text is one empty line and gets a
 score like any other. Without labels, or with one kind only, all scores are 0.5 or follow
 that kind. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import clean_text, packed, remainder
+from motorlake.llm.common import clean_text, packed, remainder, saved
 from motorlake.llm.sampling import labelled_sample
 
 TRAIN_DOCS = 4000
-TRAIN_LINES = 200
+TRAIN_LINES = 400_000
 THRESHOLD = 0.5
 MODULUS, HELD = 3, 1
 ROUNDS = 150
@@ -185,19 +183,25 @@ def score_texts(texts: list[str], model: dict[str, np.ndarray]) -> np.ndarray:
 
 # ---------------------------------------------------------------- on tables
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_DOCS,
+          lines: int = TRAIN_LINES) -> dict[str, np.ndarray]:
+    """The model, learnt from whole documents: those of the sample in the order of their
+    hashes, but for the ones with which the sample would exceed ``lines`` lines."""
     sample = labelled_sample(docs, labels, label, MODULUS, HELD, most)
+    own_lines = (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).alias("lines")
+    counted = saved(sample.select("*", own_lines, F.xxhash64("doc_id").alias("hash")), "quality-sample")
+    before = Window.orderBy("hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of at most ``most`` rows
+    taken = counted.select("doc_id", F.sum("lines").over(before).alias("so_far")).filter(F.col("so_far") <= lines)
+    sample = counted.join(F.broadcast(taken.select("doc_id")), "doc_id", "left_semi")
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc_id, text, kind in zip(batch["doc_id"], batch["text"], batch["label"]):
-                own, _, _ = line_features([text])
-                place = zlib.crc32(str(doc_id).encode()) % max(1, len(own) - TRAIN_LINES + 1)
-                rows.append((str(doc_id), kind, own[place : place + TRAIN_LINES].tobytes()))
+                rows.append((str(doc_id), kind, line_features([text])[0].tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "label", "own"], dtype=object)
 
-    rows = sorted(sample.mapInPandas(measure, "doc_id string, label int, own binary").collect())
+    rows = sorted(sample.select("doc_id", "text", "label").mapInPandas(measure, "doc_id string, label int, own binary").collect())
     own = [np.frombuffer(r.own, dtype=np.float32).reshape(-1, FEATURES) for r in rows]
     per_text = np.array([len(o) for o in own], dtype=np.int64)
     kinds = np.array([r.label for r in rows], dtype=np.int64)

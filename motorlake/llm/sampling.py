@@ -12,11 +12,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, label) of at most ``most`` labelled rows that are not held out.
 
-    The rows with the smallest hashes of their id are taken, the same on any cluster; only
-    the chosen ids, at most ``most`` of them, are sent to the scan of the documents.
+    The ids with the smallest hashes are taken, the same on any cluster; only the chosen ids,
+    at most ``most`` of them, are sent to the scan of the documents. Of several labels of an
+    id the least counts, of several documents of an id the one whose text has the least hash:
+    they are reduced before the shuffle, so an id with a third of all rows costs a row a task.
     """
     marked = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & (remainder(key, modulus) != held))
-    chosen = marked.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+    marked = marked.groupBy(F.col(key).alias("doc_id")).agg(F.min(F.col(label).cast("int")).alias("label"))
+    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.select(F.col(key).alias("doc_id"), clean_text(text).alias("text"))
-    return rows.join(F.broadcast(chosen), "doc_id")
+    found = rows.join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text"), "text")).alias("least")
+    return found.groupBy("doc_id").agg(least, F.min("label").alias("label")).select("doc_id", "least.text", "label")

@@ -37,7 +37,6 @@ SUPPORT = 4  # toxic documents a mined term needs,
 SHARE = 0.01  # and their share of all toxic ones
 RATIO = 200  # times a mined term is likelier in toxic documents than in others
 LEAST_GAIN = 20.0  # likelihood ratio statistic a mined term needs
-MOST_TERMS = 250
 STEMS = (4, 5, 6)  # lengths of word beginnings
 REPEATS = 0.4  # correlation inside a class from which a voter repeats another
 _SLICE = 500  # documents whose terms are counted together
@@ -105,8 +104,8 @@ def gain(with_toxic, toxic, with_clean, clean):
     return 2 * parts.sum()
 
 
-def mine(sample: DataFrame, most: int = MOST_TERMS) -> list[str]:
-    """Terms that speak for toxic, the strongest first. Copies of a document, near ones
+def mine(sample: DataFrame) -> list[str]:
+    """All terms that speak for toxic, the strongest first. Copies of a document, near ones
     included, count once: their words would all look alike."""
     sample = sample.dropDuplicates(["label", "least_hash"])
     totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -123,7 +122,7 @@ def mine(sample: DataFrame, most: int = MOST_TERMS) -> list[str]:
         other = elsewhere.get(term, 0)
         if n / toxic > RATIO * other / clean and (value := gain(n, toxic, other, clean)) >= LEAST_GAIN:
             found.append((-value, term))
-    return [term for _, term in sorted(found)[:most]]
+    return [term for _, term in sorted(found)]
 
 
 class Voters:

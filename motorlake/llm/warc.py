@@ -15,8 +15,8 @@ tree merges the runs. Range after range is the history of all captures.
 
 Null html counts as an empty payload. A null url has the URL key "-". Rows that repeat id
 and payload are all responses if their id is the largest; rows without id refer to it like
-the others, and are responses where no id exists. Without a timestamp column the capture
-time is 2024-01-01 plus the id in seconds. An empty table gives an empty result.
+the others, and are responses where no id exists. The capture time is 2024-01-01 plus the id
+in seconds. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -207,7 +207,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 yield pd.DataFrame(rows, columns=names, dtype=object)
 
     files = max(1, manifest.count())
-    return saved(manifest.repartition(min(files, 4096), "path").mapInPandas(read, CAPTURE), "runs")
+    return saved(manifest.repartition(files, "path").mapInPandas(read, CAPTURE), "runs")
 
 
 # ---------------------------------------------------------------- merging

@@ -5,7 +5,7 @@ import itertools
 import numpy as np
 import pytest
 
-from motorlake.llm import quality, toxicity
+from motorlake.llm import quality, sampling, toxicity
 
 DOCS = "doc_id long, text string, score string, label string"
 
@@ -113,3 +113,27 @@ def test_copies_do_not_make_terms(spark):
 
     terms = toxicity.mine(sample.withColumn("least_hash", toxicity._least_hash(F.col("text"))))
     assert "insultx" in terms and not any(t.startswith("copied") for t in terms)
+
+
+def test_sample_is_bounded_in_rows(spark):
+    """One id with a third of all rows, and labels that repeat or contradict each other."""
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, 6, id) as doc_id", "concat('text ', id) as text", "id as label")
+    labels = spark.range(400).selectExpr("if(id < 200, 6, id) as doc_id", "cast(id % 2 as int) as toxic")
+    found = sampling.labelled_sample(docs.repartition(5), labels, "toxic", 4, 2, 10_000).collect()
+    assert len(found) == len({r.doc_id for r in found}) > 50
+    again = sampling.labelled_sample(docs.repartition(3), labels, "toxic", 4, 2, 10_000).collect()
+    assert sorted(again) == sorted(found)
+    assert [r.label for r in found if r.doc_id == 6] == [0]
+    few = sampling.labelled_sample(docs, labels, "toxic", 4, 2, 10).collect()
+    assert len(few) == 10 and set(few) <= set(found)
+
+
+def test_quality_learns_from_whole_documents(spark):
+    """What sets the classes apart stands in the last of 600 lines only."""
+    rows = [(i, "plain words here\n" * 600 + ("##### 99999 #####\n" * 300 if i % 2 else "more words there\n" * 300)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.score(docs, labels).collect()}
+    assert min(got[i] for i in range(0, 60, 2)) > max(got[i] for i in range(1, 60, 2))
+    bounded = quality.train(docs, labels, lines=901 * 4)  # four whole documents, and not all of a kind
+    assert np.isfinite(np.concatenate([np.ravel(v) for v in bounded.values()])).all()
