@@ -125,7 +125,7 @@ def test_sample_is_bounded_in_rows(spark):
     assert sorted(again) == sorted(found)
     assert [r.label for r in found if r.doc_id == 6] == [0]
     few = sampling.labelled_sample(docs, labels, "toxic", 4, 2, 10).collect()
-    assert len(few) == 10 and set(few) <= set(found)
+    assert 0 < len(few) <= 10 and set(few) <= set(found)  # a chosen id need not be in the table
 
 
 def test_quality_learns_from_whole_documents(spark):
