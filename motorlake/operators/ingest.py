@@ -107,9 +107,12 @@ def _publish(rows: DataFrame, path: str, version: int) -> None:
     written.withColumn("version", F.lit(version)).coalesce(1).write.mode("append").parquet(f"{path}/versions")
 
 
-def _newest(spark, path: str) -> list:
-    """(bucket, version) of every bucket: as many rows as the table has buckets."""
+def _newest(spark, path: str, before: int | None = None) -> list:
+    """(bucket, version) of every bucket, as it is or was before a version: as many rows as
+    the table has buckets."""
     versions = spark.read.schema("bucket int, version int").parquet(f"{path}/versions")
+    if before is not None:
+        versions = versions.where(F.col("version") < before)
     return versions.groupBy("bucket").agg(F.max("version").alias("version")).collect()
 
 
@@ -129,6 +132,15 @@ def bucket_table(spark, path: str) -> DataFrame:
     return _buckets_at(spark, path, _newest(spark, path)).drop("version", "bucket")
 
 
+def touched_rows(
+    spark, path: str, batch: DataFrame, keys: Sequence[str], buckets: int, before: int | None = None
+) -> DataFrame:
+    """The rows of the buckets that the keys of a batch fall in; no other bucket is read."""
+    touched = {r.bucket for r in _bucketed(batch, keys, buckets).select("bucket").distinct().collect()}
+    newest = [(b, v) for b, v in _newest(spark, path, before) if b in touched]
+    return _buckets_at(spark, path, newest).drop("version", "bucket")
+
+
 def store_in_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     """Write a keyed table in folders by a hash of its key, for ``upsert_in_place``.
 
@@ -138,21 +150,26 @@ def store_in_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: i
 
 
 def upsert_in_place(
-    path: str, batch: DataFrame, keys: Sequence[str], position: str, buckets: int
+    path: str, batch: DataFrame, keys: Sequence[str], position: str, buckets: int, number: int | None = None
 ) -> None:
     """``upsert_latest`` on a stored table, at the cost of the buckets the batch touches.
 
+    A batch with a ``number`` (1 after the first write, then 2, ...) becomes the version of
+    that number and starts from the versions below it.
+
     Those buckets are written anew beside the old ones, which readers go on using until the
     new version is published. Running the same batch again gives the same table. The batch
     is read more than once: store it first if it is dear to compute.
     """
     spark = batch.sparkSession
-    newest = _newest(spark, path)
+    newest = _newest(spark, path, number)
     stored = _buckets_at(spark, path, newest).drop("version")
     latest = _bucketed(last_wins(batch, keys, F.col(position)), keys, buckets)
     touched = stored.join(latest.select("bucket").distinct(), "bucket", "left_semi")
     merged = upsert_latest(touched.select(*stored.columns), latest, keys, position)
-    _publish(merged, path, max([version for _, version in newest], default=-1) + 1)
+    if number is None:
+        number = max([version for _, version in newest], default=-1) + 1
+    _publish(merged, path, number)
 
 
 def null_key_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

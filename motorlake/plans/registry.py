@@ -102,6 +102,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from motorlake.plans import (  # noqa: F401
         extract_queries,
+        index_queries,
         ingest_queries,
         model_queries,
         search_queries,
