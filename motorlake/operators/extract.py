@@ -203,13 +203,16 @@ def has_detail_table(html: Column) -> Column:
 
 def strip_hidden_nodes(html: Column) -> Column:
     """The markup without elements whose style contains ``none``, with all they hold; the
-    rest stays as it is written. How elements nest decides, so the page is read as a tree."""
+    rest stays as it is written. How elements nest decides, so the page is read as a tree;
+    only pages that can hide something are: those with "none" or with a numbered character,
+    which may spell it."""
 
     @F.pandas_udf("string")
     def visible(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: page if page is None else markup.without(page, _style_hides))
 
-    return visible(html)
+    may_hide = html.contains("none") | html.contains("&#")
+    return F.coalesce(visible(F.when(may_hide, html)), html)
 
 
 # ---------------------------------------------------------------- page status

@@ -273,10 +273,10 @@ def rates_table(spark, rates: Mapping[str, float] = K.DEFAULT_RATES) -> DataFram
 
 
 def current_rates(history: DataFrame) -> DataFrame:
-    """The newest rate per currency from rows (currency, per_usd, as_of)."""
-    return history.groupBy("currency").agg(
-        F.max_by("per_usd", "as_of").alias("per_usd"), F.max("as_of").alias("as_of")
-    )
+    """The newest rate per currency from rows (currency, per_usd, as_of): of rates of one day
+    the greatest; a rate without a day counts only where its currency has no other."""
+    newest = F.max(F.struct(F.col("as_of").isNotNull().alias("known"), "as_of", "per_usd")).alias("newest")
+    return history.groupBy("currency").agg(newest).select("currency", "newest.per_usd", "newest.as_of")
 
 
 def read_rates(rates: DataFrame) -> dict[str, float]:

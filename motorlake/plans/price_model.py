@@ -55,10 +55,16 @@ def tags_from_pages(pages: DataFrame, landing: str | None = None) -> DataFrame:
     ``landing`` names a column of the pages that orders several landings of one car: the
     first landing counts.
     """
+    first = landed_tags(pages, landing)
+    return first.drop(landing) if landing else first
+
+
+def landed_tags(pages: DataFrame, landing: str | None = None) -> DataFrame:
+    """``tags_from_pages`` with the column ``landing`` of the landing that counted."""
     carried = [landing] if landing else []
     found = extract.extract_detail_tags(pages, carried).withColumnRenamed("pos", "seq")
     order = [F.col(c) for c in (*carried, "seq")]
-    return ingest.first_wins(found, ["car_id", "attribute"], *order).drop(*carried)
+    return ingest.first_wins(found, ["car_id", "attribute"], *order)
 
 
 def train_and_evaluate(

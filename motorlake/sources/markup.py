@@ -167,7 +167,10 @@ class _Spans(HTMLParser):
             self.spans.append((at, at + len(self.get_starttag_text())))
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+        # Closed at once, as in the tree: it holds nothing.
+        at = self._at()
+        if self.drop({name: value or "" for name, value in attrs}):
+            self.spans.append((at, at + len(self.get_starttag_text())))
 
     def handle_endtag(self, tag):
         at = self._at()

@@ -40,13 +40,19 @@ def _run(rows: DataFrame, write, checkpoint: str, mode: str = "append") -> Strea
     )
 
 
+def _dealt(batch: DataFrame) -> DataFrame:
+    """The pages of a micro-batch, dealt over all cores: a few files are few splits, and
+    parsing, not moving them, takes the time."""
+    return batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
+
+
 def stream_extract_upsert(pages: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     """Streaming pages (page_id, html) -> cards -> batch log, reduced to one row per id.
 
     Rows of a batch are ordered by (page_id, pos), as pages were fetched in turn.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        cards = extract.extract_gl_cards(batch)
+        cards = extract.extract_gl_cards(_dealt(batch))
         last = ingest.last_wins(cards, ["id"], F.col("page_id"), F.col("pos"))
         ingest.append_batch(last, log, batch_id)
 
@@ -67,7 +73,7 @@ def stream_offer_upsert(pages: DataFrame, log: str, quarantine: str, checkpoint:
     """Streaming search pages (page_id, html) -> usable cards -> batch log, one row per id;
     cards that cannot be used go to the quarantine log."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        cards = price_model.offer_cards(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        cards = price_model.offer_cards(_dealt(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         good = cards.where("error IS NULL").drop("error", "price_raw", "year_raw")
         last = ingest.last_wins(good, ["id"], F.col("page_id"), F.col("pos"))
         ingest.append_batch(ingest.default_timestamp(last), log, batch_id)
@@ -82,10 +88,17 @@ def upserted_cars(spark: SparkSession, log: str) -> DataFrame:
     return _last_per_id(spark, log).drop("batch_id", "page_id", "pos")
 
 
-def stream_detail_tags(pages: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Streaming detail pages (car_id, html) -> tags -> batch log, first value per key."""
+def stream_detail_tags(
+    pages: DataFrame, log: str, checkpoint: str, landing: str | None = None
+) -> StreamingQuery:
+    """Streaming detail pages (car_id, html) -> tags -> batch log, first value per key.
+
+    ``landing`` names a column of the pages that orders landings of one car; the log keeps it
+    as ``landing``. Batches come one after the other, so it decides inside a batch only.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest.append_batch(price_model.tags_from_pages(batch), log, batch_id)
+        tags = price_model.landed_tags(_dealt(batch), landing)
+        ingest.append_batch(tags.withColumnRenamed(landing, "landing") if landing else tags, log, batch_id)
 
     return _run(pages, write, checkpoint)
 
@@ -105,8 +118,9 @@ def first_tags(spark: SparkSession, log: str) -> DataFrame:
 
 
 def _first_per_key(spark: SparkSession, log: str) -> DataFrame:
-    order = [F.col("batch_id"), F.col("seq")]
-    return ingest.first_wins(spark.read.parquet(log), ["car_id", "attribute"], *order)
+    rows = spark.read.parquet(log)
+    order = [F.col(c) for c in ("batch_id", "landing", "seq") if c in rows.columns]
+    return ingest.first_wins(rows, ["car_id", "attribute"], *order)
 
 
 def first_tags_stateful(tags: DataFrame) -> DataFrame:
