@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motorlake import constants as K
+from motorlake.operators.ingest import first_wins
 
 def attribute_names(tags: DataFrame) -> list[str]:
     """Distinct attribute names, sorted: the columns of a pivot over all of them. A plan
@@ -58,3 +59,20 @@ def tags_fk_check(tags: DataFrame, cars: DataFrame) -> DataFrame:
 
 
 TRAINING_COLUMNS = (*K.CAR_FEATURES, *K.ATTRIBUTE_FEATURES)
+
+
+def tag_objects(tags: DataFrame, order: str = "seq") -> DataFrame:
+    """(car_id, tags): every attribute of a car in one VARIANT, the first value of each.
+
+    One pass and no list of names: attributes nobody knew of are kept, and read later by
+    ``tag_value``. Rows without car or attribute are left out; null values count as none.
+    """
+    first = first_wins(tags.where("value is not null"), ["car_id", "attribute"], F.col(order))
+    entries = F.map_from_entries(F.collect_list(F.struct("attribute", "value")))
+    return first.groupBy("car_id").agg(F.to_variant_object(entries).alias("tags"))
+
+
+def tag_value(name: str, tags: str = "tags") -> Column:
+    """One attribute out of a VARIANT, null where the car has none."""
+    quote = '"' if "'" in name else "'"
+    return F.variant_get(F.col(tags), f"$[{quote}{name}{quote}]", "string")

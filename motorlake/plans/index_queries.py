@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from motorlake import constants as K
-from motorlake.operators import facet_views, facets, ordered_stats, positions, search, title_index
+from motorlake.operators import (
+    facet_views,
+    facets,
+    ordered_stats,
+    positions,
+    ranges,
+    resume_ledger,
+    search,
+    title_index,
+    unify,
+)
 from motorlake.plans import adapters, model_queries, search_queries
 from motorlake.plans.registry import query, with_tables
 from motorlake.session import new_folder
@@ -184,3 +194,49 @@ def ordered_statistics(spark, sf):
     train, _ = model_queries._stored_training_set(spark, sf)
     rows = ordered_stats.ordered_statistics(train, blocks=16)
     return rows.withColumn("encoded", F.round("encoded", 4))
+
+
+# ---------------------------------------------------------------- ranges, ledger, objects
+
+_RANGES = """
+  select p_partkey as range_id, cast(p_partkey * 150 as double) as lo, cast(p_partkey * 150 + p_size * 20 as double) as hi
+  from part
+"""
+
+
+@query(
+    "price_range_join",
+    with_tables("cars", "select id, price, range_id, lo, hi from cars join ranges on price between lo and hi", ranges=_RANGES),
+)
+def price_range_join(spark, sf):
+    """Cars and as many ranges as there are parts."""
+    wanted = spark.sql(_RANGES.replace("from part", "from {part}"), part=adapters.table(spark, sf, "part"))
+    return ranges.range_join(adapters.cars(spark, sf).select("id", "price"), wanted, "price")
+
+
+@query(
+    "resume_ledger",
+    with_tables(
+        "cars tags_raw",
+        "select (select count(distinct id) from cars) as total, (select count(distinct car_id) from tags_raw) as done, "
+        "(select count(*) from (select id from cars except select car_id from tags_raw) p) as pending",
+    ),
+)
+def resume_ledger_counts(spark, sf):
+    """``pending_counts`` from bitmaps, the tags noted in four batches that overlap."""
+    path = new_folder(spark, "ledger")
+    resume_ledger.add(path, "cars", 1, adapters.cars(spark, sf), "id")
+    tags = adapters.tags(spark, sf)
+    for batch in range(4):
+        some = tags.where(F.pmod(F.xxhash64("car_id", "attribute"), F.lit(5)).isin(batch, batch + 1))
+        resume_ledger.add(path, "tags", batch, some, "car_id")
+    return resume_ledger.pending_counts(spark, path)
+
+
+@query("pivot_variant", model_queries._sql(f"select car_id, {model_queries._names()} from pivoted", "pivoted"))
+def pivot_variant(spark, sf):
+    """The wide table read out of one VARIANT a car."""
+    objects = unify.tag_objects(adapters.tags(spark, sf))
+    return objects.select(
+        "car_id", *[unify.tag_value(source).alias(name) for name, source in model_queries._ATTRIBUTES.items()]
+    )

@@ -6,7 +6,17 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from motorlake.operators import facet_views, facets, ordered_stats, positions, search, title_index
+from motorlake.operators import (
+    facet_views,
+    facets,
+    ordered_stats,
+    positions,
+    ranges,
+    resume_ledger,
+    search,
+    title_index,
+    unify,
+)
 from motorlake.session import new_folder
 
 SCHEMA = "id string, l_text string, ingest_seq long"
@@ -155,3 +165,85 @@ def test_ordered_statistics_see_earlier_rows_only(spark, blocks):
     wide = ordered_stats.encode_ordered(table, ["Make", "Model"], blocks=blocks)
     assert wide.columns == ["id", "Make_enc", "Model_enc"] and wide.count() == 400
 
+
+def test_ranges_against_all_pairs(spark):
+    rng = random.Random(6)
+    prices = [(str(i), rng.choice([100.0, 100.0, rng.uniform(0, 1000), rng.randint(0, 10) * 100.0])) for i in range(300)] + [("x", None)]
+    bounds = [(k, float(a), float(a + rng.randint(0, 300))) for k in range(60) for a in [rng.randint(-50, 1100)]]
+    bounds += [(60, -1e9, 1e9), (61, 5.0, 4.0), (62, None, 5.0), (63, 100.0, 100.0), (64, 0.0, 1000.0)]
+    rows = spark.createDataFrame(prices, "id string, price double")
+    table = spark.createDataFrame(bounds, "range_id long, lo double, hi double")
+    want = sorted((i, k) for i, p in prices for k, lo, hi in bounds if p is not None and lo is not None and lo <= p <= hi)
+    for bins, salts in ((1024, 16), (1, 1), (7, 3)):
+        met = ranges.range_join(rows, table, "price", bins, salts)
+        assert met.columns == ["id", "price", "range_id", "lo", "hi"]
+        assert sorted((r.id, r.range_id) for r in met.collect()) == want
+    plan = plan_of(met)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert ranges.range_join(rows.limit(0), table, "price").collect() == []
+    same = ranges.range_join(rows.where("price = 100"), table, "price")
+    assert sorted((r.id, r.range_id) for r in same.collect()) == [w for w in want if dict(prices)[w[0]] == 100.0]
+
+
+def test_ledger_counts_after_batches(spark):
+    rng = random.Random(7)
+    path = new_folder(spark, "ledger")
+    cars, done = set(), set()
+    ids = lambda some: spark.createDataFrame([(str(i),) for i in some] + [(None,)], "id string")
+    for batch in range(4):
+        new, seen = [rng.randint(0, 200_000) for _ in range(80)], [rng.choice([5, 32_768, 32_769, 0, rng.randint(0, 200_000)]) for _ in range(50)]
+        cars.update(new)
+        done.update(seen)
+        resume_ledger.add(path, "cars", batch, ids(new), "id")
+        for _ in range(2 if batch == 1 else 1):  # one batch twice
+            resume_ledger.add(path, "tags", batch, ids(seen), "id")
+        (row,) = resume_ledger.pending_counts(spark, path).collect()
+        assert tuple(row) == (len(cars), len(done), len(cars - done))
+    target = new_folder(spark, "ledger")
+    resume_ledger.compact(spark, path, target)
+    assert tuple(resume_ledger.pending_counts(spark, target).first()) == (len(cars), len(done), len(cars - done))
+
+
+def test_tag_objects_hold_every_attribute(spark):
+    rows = [("1", "a", "first", 1), ("1", "a", "late", 2), ("1", "it's", "x", 3), ("2", 'say "b"', "y", 1), ("2", "a", None, 1),
+            ("3", None, "z", 1), (None, "a", "z", 1), ("4", "a", "", None)]
+    tags = spark.createDataFrame(rows, "car_id string, attribute string, value string, seq long")
+    names = unify.attribute_names(tags)
+    objects = unify.tag_objects(tags)
+    got = objects.select("car_id", *[unify.tag_value(n).alias(n) for n in names], unify.tag_value("none").alias("none"))
+    want = unify.pivot_tags(tags, names).withColumn("none", F.lit(None).cast("string"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_self_closed_hidden_elements_hold_nothing(spark):
+    from motorlake.operators import extract
+
+    pages = ['<td><i style="display:none"/>keep</td>', '<b style="none"/><p>a</p>', "plain", None, '<i style="display:&#110;one">x</i>y',
+             '<u style="none"><i/>gone</u>stays', '<img style="none">a<br/>b']
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = {r.i: r.html for r in rows.select("i", extract.strip_hidden_nodes(F.col("html")).alias("html")).collect()}
+    assert got == {0: "<td>keep</td>", 1: "<p>a</p>", 2: "plain", 3: None, 4: "y", 5: "stays", 6: "a<br/>b"}
+
+
+def test_newest_rate_is_decided_whatever_the_order(spark):
+    rows = [("USD", 2.0, 5), ("USD", 3.0, 5), ("USD", 9.0, 1), ("EUR", 4.0, None), ("AMD", 7.0, None), ("AMD", 1.0, 3)]
+    for some in (rows, rows[::-1]):
+        history = spark.createDataFrame(some, "currency string, per_usd double, as_of int").coalesce(1)
+        got = {r.currency: (r.per_usd, r.as_of) for r in search.current_rates(history).collect()}
+        assert got == {"USD": (3.0, 5), "EUR": (4.0, None), "AMD": (1.0, 3)}
+
+
+def test_first_landing_counts_in_one_micro_batch(spark, tmp_path):
+    from motorlake.streaming import landing
+
+    page = '<table class="pad-top-6 ad-det"><tbody><tr><td>Color</td><td>{}</td></tr></tbody></table>'
+    rows = [("1", page.format("z first"), 10), ("1", page.format("a second"), 11), ("2", page.format("only"), 12)]
+    land, log, check = (str(tmp_path / n) for n in ("land", "log", "check"))
+    pages = spark.createDataFrame(rows, "car_id string, html string, landed long")
+    pages.coalesce(1).write.parquet(land)
+    stream = landing.read_landing(spark, land, pages.schema)
+    landing.stream_detail_tags(stream, log, check, landing="landed").awaitTermination()
+    want = {("1", "Color", "z first"), ("2", "Color", "only")}
+    assert {tuple(r) for r in landing.first_tags(spark, log).collect()} == want
+    landing.compact_tag_log(spark, log, str(tmp_path / "compact"))
+    assert {tuple(r) for r in landing.first_tags(spark, str(tmp_path / "compact")).collect()} == want
