@@ -509,3 +509,31 @@ def stream_progress(spark, sf):
         pages, ["range_id", "outcome"], f"{folder}/counts", f"{folder}/checkpoint"
     ).awaitTermination()
     return landing.progress_counts(spark, f"{folder}/counts")
+
+
+@query(
+    "stream_progress_changes",
+    "select case when o_totalprice <= 20000 then 1 else 2 end as range_id, o_orderstatus as outcome, "
+    "count(*) as n from orders group by 1, 2",
+)
+def stream_progress_changes(spark, sf):
+    """The totals of ``stream_progress``, from a log of what each micro-batch changed."""
+    pages = _stream(spark, sf, "orders").select(
+        F.when(F.col("o_totalprice") <= 20000, 1).otherwise(2).alias("range_id"),
+        F.col("o_orderstatus").alias("outcome"),
+    )
+    folder, keys = new_folder(spark, "progress-stream"), ["range_id", "outcome"]
+    landing.stream_progress_changes(pages, keys, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+    return landing.progress_totals(spark, f"{folder}/log", keys)
+
+
+@query("stream_fresh_tags", with_tables("tags", "select car_id, attribute, value from tags"))
+def stream_fresh_tags(spark, sf):
+    """The tags landed twice in a row, and the stream restarted from its checkpoint between."""
+    folder = new_folder(spark, "fresh-tags")
+    tags = adapters.tags(spark, sf)
+    for _ in range(2):
+        tags.write.mode("append").parquet(f"{folder}/landed")
+        stream = landing.read_landing(spark, f"{folder}/landed", tags.schema)
+        landing.stream_fresh_tags(stream, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+    return landing.first_tags(spark, f"{folder}/log")

@@ -123,6 +123,24 @@ def _first_per_key(spark: SparkSession, log: str) -> DataFrame:
     return ingest.first_wins(rows, ["car_id", "attribute"], *order)
 
 
+def stream_fresh_tags(tags: DataFrame, log: str, checkpoint: str, kept: str = "1 day") -> StreamingQuery:
+    """Like ``stream_first_wins`` for crawls that land the same pages over and over: a tag
+    (car_id, attribute, value, seq) that arrived in the last ``kept`` is not written again.
+
+    The state store holds the tags of that time and no older ones. Time is that of arrival,
+    so no row is ever late, and none is lost. A repeat that comes later is written once more,
+    and settled where all are: by the first write per key, when the log is read.
+    """
+    arrived = tags.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", kept)
+    fresh = arrived.dropDuplicatesWithinWatermark(["car_id", "attribute", "value", "seq"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = ingest.first_wins(batch, ["car_id", "attribute"], F.col("seq"))
+        ingest.append_batch(first.drop("_arrived"), log, batch_id)
+
+    return _run(fresh, write, checkpoint)
+
+
 def first_tags_stateful(tags: DataFrame) -> DataFrame:
     """First value per key straight from the stream.
 
@@ -140,6 +158,21 @@ def stream_progress(
     return _run(counts, write, checkpoint, mode="complete")
 
 
+def stream_progress_changes(
+    pages: DataFrame, keys: list[str], log: str, checkpoint: str
+) -> StreamingQuery:
+    """Running page counts per key; a micro-batch's folder holds the totals it changed."""
+    counts = pages.groupBy(*keys).agg(F.count("*").alias("n"))
+    write = lambda batch, n: ingest.append_batch(batch, log, n)
+    return _run(counts, write, checkpoint, mode="update")
+
+
+def progress_totals(spark: SparkSession, log: str, keys: list[str]) -> DataFrame:
+    """The newest total of every key of a log of changes."""
+    newest = F.max(F.struct("batch_id", "n")).alias("newest")
+    return spark.read.parquet(log).groupBy(*keys).agg(newest).select(*keys, "newest.n")
+
+
 def progress_counts(spark: SparkSession, log: str) -> DataFrame:
     """The totals of the newest micro-batch; older folders are not scanned."""
     totals = spark.read.parquet(log)

@@ -90,3 +90,42 @@ def test_progress_counts_grow(spark, tmp_path):
 def test_default_timestamp(spark):
     got = ingest.default_timestamp(spark.range(2)).select(F.current_timestamp() >= F.col("scraped_at"))
     assert all(r[0] for r in got.collect())
+
+
+def test_progress_log_holds_changed_keys_only(spark, tmp_path):
+    land, log, check = (str(tmp_path / n) for n in ("land", "log", "check"))
+    schema, keys = "range_id int, outcome string", ["range_id", "outcome"]
+    batches = [[(1, "ok"), (2, "gone"), (None, "ok")], [(1, "ok")], [(3, None), (3, None), (1, "ok")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        stream = landing.read_landing(spark, land, spark.createDataFrame([], schema).schema)
+        landing.stream_progress_changes(stream, keys, log, check).awaitTermination()
+    sizes = sorted(tuple(r) for r in spark.read.parquet(log).groupBy("batch_id").count().collect())
+    assert [n for _, n in sizes] == [3, 1, 2]
+    got = {tuple(r) for r in landing.progress_totals(spark, log, keys).collect()}
+    assert got == {(1, "ok", 3), (2, "gone", 1), (None, "ok", 1), (3, None, 2)}
+
+
+def test_fresh_tags_are_kept_for_a_time_only(spark, tmp_path):
+    """Repeats inside that time are not written, later ones are, and the first value stays."""
+    land, log, check = (str(tmp_path / n) for n in ("land", "log", "check"))
+    schema = "car_id string, attribute string, value string, seq long"
+    state = []
+
+    def run(rows, kept):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        stream = landing.read_landing(spark, land, spark.createDataFrame([], schema).schema)
+        query = landing.stream_fresh_tags(stream, log, check, kept)
+        query.awaitTermination()
+        state.append(query.lastProgress.stateOperators[0].numRowsTotal)
+
+    first = [(str(i), "a", f"v{i}", 1) for i in range(100)]
+    run(first, "1 day")
+    run(first + [("5", "a", "changed", 0)], "1 day")
+    assert state[-1] == 101
+    assert spark.read.parquet(log).count() == 101  # the repeats were not written
+    for k in range(4):
+        run([(f"n{k}-{i}", "a", "x", 1) for i in range(10)] + first[:1], "0 seconds")
+    want = {(c, a, v) for c, a, v, _ in first} | {(f"n{k}-{i}", "a", "x") for k in range(4) for i in range(10)}
+    assert {tuple(r) for r in landing.first_tags(spark, log).collect()} == want
+    assert state[-1] < 101 + 4 * 10
