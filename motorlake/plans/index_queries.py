@@ -15,6 +15,7 @@ from motorlake.operators import (
     search,
     title_index,
     unify,
+    validated_model,
 )
 from motorlake.plans import adapters, model_queries, search_queries
 from motorlake.plans.registry import query, with_tables
@@ -240,3 +241,14 @@ def pivot_variant(spark, sf):
     return objects.select(
         "car_id", *[unify.tag_value(source).alias(name) for name, source in model_queries._ATTRIBUTES.items()]
     )
+
+
+# ---------------------------------------------------------------- the trainer's own curve
+
+@query("fitted_curve")
+def fitted_curve(spark, sf):
+    """Validation error after each round of a fit of its own; SQL cannot grow trees."""
+    train, _ = model_queries._stored_training_set(spark, sf)
+    path = new_folder(spark, "validated-model")
+    validated_model.train_validated(train, path)
+    return validated_model.fitted_curve(train, path)

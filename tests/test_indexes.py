@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import plan_of
+from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
 from motorlake.operators import (
@@ -16,7 +16,9 @@ from motorlake.operators import (
     search,
     title_index,
     unify,
+    validated_model,
 )
+from motorlake.plans import adapters
 from motorlake.session import new_folder
 
 SCHEMA = "id string, l_text string, ingest_seq long"
@@ -247,3 +249,37 @@ def test_first_landing_counts_in_one_micro_batch(spark, tmp_path):
     assert {tuple(r) for r in landing.first_tags(spark, log).collect()} == want
     landing.compact_tag_log(spark, log, str(tmp_path / "compact"))
     assert {tuple(r) for r in landing.first_tags(spark, str(tmp_path / "compact")).collect()} == want
+
+
+def test_the_round_chosen_is_the_minimum_of_the_log(spark):
+    from motorlake.operators import model
+    from motorlake.sources import tables
+
+    train, _ = model.train_test_split(tables.materialise(adapters.training_set(spark, SF), new_folder(spark, "train")))
+    path = new_folder(spark, "validated")
+    settings = model.TrainingSettings(depth=3, rounds=12)
+    fitted = validated_model.train_validated(train, path, settings)
+    curve = sorted(validated_model.fitted_curve(train, path).collect())
+    rounds = fitted.stages[1].getNumTrees
+    assert [r.iter for r in curve] == list(range(rounds)) and 1 <= rounds <= 12
+    assert [r.iter for r in curve if r.best] == [min(curve, key=lambda r: (r.RMSE, r.iter)).iter]
+    assert curve[-1].best  # what lies behind the minimum was dropped
+    held = train.where(model.is_test(F.col("id"), validated_model.SHARE, 43))
+    scored = model.predict_price(held, path, fitted)
+    assert model.rmse_log(scored).first()[0] == pytest.approx(curve[-1].RMSE)
+
+
+def test_train_and_evaluate(spark):
+    """The whole job: its figures are those of the stored model on the test part."""
+    from motorlake.operators import features, model
+    from motorlake.plans import price_model
+
+    path = new_folder(spark, "price-model")
+    cars, tags = adapters.cars(spark, SF), adapters.tags(spark, SF)
+    (got,) = price_model.train_and_evaluate(cars, tags, path, model.TrainingSettings(depth=3, rounds=4)).collect()
+    _, test = model.train_test_split(features.build_training_set(adapters.unified(spark, SF)))
+    rows = model.predict_price(test, path).select("Price", "prediction").collect()
+    mean = sum(r.Price for r in rows) / len(rows)
+    miss = [r.Price - r.prediction for r in rows]
+    assert got.mae == pytest.approx(sum(map(abs, miss)) / len(rows))
+    assert got.r2 == pytest.approx(1 - sum(m * m for m in miss) / sum((r.Price - mean) ** 2 for r in rows))
