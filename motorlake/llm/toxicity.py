@@ -1,18 +1,20 @@
 """Toxicity by weak supervision.
 
-Voters: words of a fixed lexicon, a lexicon spelling hidden by digits or stretched letters,
-and words and word beginnings mined from labelled documents, each of which speaks for toxic
-or abstains, and the document's own label where it has one. A generative label model with
-two classes estimates by expectation maximisation how often every voter fires in each class
-(its accuracy) and how voters go together inside a class (their correlations); a voter's
-word counts for less the more of it others repeat. The posterior labels of that model train
-a linear classifier on what the voters saw, and it scores every text.
-
-Fitting uses at most ``TRAIN_DOCS`` labelled documents that are not held out; counts of
-terms are made by Spark, and only the chosen terms and the voters' marks reach the driver.
-Scores are a function of the text alone. A null or empty text has no voter and gets the
-lowest score. Without labels the fixed lexicon decides. An empty table gives an empty
-result.
+Voters: every word of a fixed lexicon, the patterns that hide one (digits for letters,
+stretched letters), and words and word beginnings mined from labelled documents, each of
+which speaks for toxic or abstains, and the document's own label where it has one. A
+generative label model with two classes estimates by expectation maximisation how often every
+voter fires in each class (its accuracy) and how voters go together inside a class (their
+correlations); a voter's word counts for less the more of it others repeat. The posterior
+labels of that model train a linear classifier on what the voters saw, and it scores every
+text.
+
+Fitting uses at most ``TRAIN_DOCS`` labelled documents and ``UNLABELLED`` ones without a
+label, none of them held out; counts of terms are made by Spark, and only the chosen terms
+and the voters' marks reach the driver. Scores are a function of the text alone. A null or
+empty text has no voter and gets the lowest score. Without labels the model is fitted on
+unlabelled documents alone; where no voter fires in the sample at all, any that fires later
+decides. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motorlake.llm.common import clean_text, remainder, saved
-from motorlake.llm.sampling import labelled_sample
+from motorlake.llm.sampling import labelled_sample, unlabelled_sample
 
 TRAIN_DOCS = 12_000
+UNLABELLED = 4_000  # documents without a label that the label model also sees
 THRESHOLD = 0.3
 MODULUS, HELD = 4, 2
 SUPPORT = 4  # toxic documents a mined term needs,
@@ -126,26 +129,30 @@ def mine(sample: DataFrame) -> list[str]:
 
 
 class Voters:
-    """What fires in a text: mined terms, then the lexicon, then its hidden spellings."""
+    """What fires in a text: mined terms, then every word of the lexicon, then the patterns
+    that hide one: digits for letters, stretched letters."""
 
     def __init__(self, terms: list[str]):
-        self.names = [*terms, "<lexicon>", "<hidden>"]
         self.place = {t: i for i, t in enumerate(terms)}
         self.stems = {t[:-1]: i for t, i in self.place.items() if t.endswith("*")}
-        self.lexicon = set(LEXICON)
-
-    def _hidden(self, word: str) -> bool:
-        """Whether digits stand for letters of a lexicon word, or its letters are stretched."""
-        if not word.isalpha() and word.translate(DIGITS) in self.lexicon:
-            return True
-        return bool(_STRETCHED.search(word)) and _REPEATED.sub(r"\1", word) in self.lexicon
+        own = list(dict.fromkeys(LEXICON))
+        self.lexicon = {w: len(terms) + i for i, w in enumerate(own)}
+        self.names = [*terms, *(f"<{w}>" for w in own), "<digits>", "<stretched>"]
+
+    def _hidden(self, word: str) -> tuple[int, int] | None:
+        """Voters of the lexicon word and the pattern, where one hides the other."""
+        if not word.isalpha() and (plain := word.translate(DIGITS)) in self.lexicon:
+            return self.lexicon[plain], len(self.names) - 2
+        if _STRETCHED.search(word) and (plain := _REPEATED.sub(r"\1", word)) in self.lexicon:
+            return self.lexicon[plain], len(self.names) - 1
+        return None
 
     def marks(self, text: str) -> tuple[list[int], int, int]:
         """Voters that fire, hits in all, words in all."""
         words = words_of(text)
         counts = Counter(words)
         fired, hits = set(), 0
-        place, stems, terms = self.place, self.stems, len(self.place)
+        place, stems, lexicon = self.place, self.stems, self.lexicon
         for word, n in counts.items():
             hit = False
             if word in place:
@@ -155,36 +162,50 @@ class Voters:
                 if len(word) > size and (at := stems.get(word[:size])) is not None:
                     fired.add(at)
                     hit = True
-            if word in self.lexicon:
-                fired.add(terms)
+            if (at := lexicon.get(word)) is not None:
+                fired.add(at)
                 hit = True
-            elif self._hidden(word):  # a lexicon word all the same
-                fired.update((terms, terms + 1))
+            elif both := self._hidden(word):  # a lexicon word all the same
+                fired.update(both)
                 hit = True
             hits += n * hit
         return sorted(fired), hits, len(words)
 
 
+SUMS = 4  # features besides the voters
+
+
 def features(marks: tuple[list[int], int, int], voters: int) -> np.ndarray:
     """One row for the linear classifier: the voters, how many fired, how often and how densely."""
     fired, hits, words = marks
-    row = np.zeros(voters + 4)
+    row = np.zeros(voters + SUMS)
     row[fired] = 1
     row[voters:] = min(1, len(fired)), np.log1p(len(fired)), np.log1p(hits), min(1.0, 10 * hits / max(1, words))
     return row
 
 
+def beliefs(voters: Voters) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and targets that stand for what the rules mean, beside those of any sample: a
+    text without a voter is clean, one with a word of the lexicon, plain or hidden, is toxic.
+    They decide on voters the sample hardly has."""
+    count = len(voters.names)
+    own = list(voters.lexicon.values())
+    marks = [([i], 1, 20) for i in own] + [([i, count - 2 + i % 2], 1, 20) for i in own]
+    rows = [features(m, count) for m in marks] + [features(([], 0, 20), count)] * len(own)
+    return np.array(rows), np.array([0.9] * len(marks) + [0.01] * len(own))
+
+
 # ---------------------------------------------------------------- label model
 
 def label_model(fires: np.ndarray, label: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, dict]:
     """Posterior probability of toxic for each row, and the estimates behind it.
 
     ``fires`` (rows, voters) is 0 or 1; ``label`` is 0, 1 or -1 (unknown) and is one more
-    voter, which may be wrong.
+    voter, which may be wrong. Rows without a label start from whether any voter fires.
     """
     rows, voters = fires.shape
     known = label >= 0
-    posterior = np.where(known, 0.1 + 0.8 * (label == 1), 0.1)
+    posterior = np.where(known, 0.1 + 0.8 * (label == 1), 0.02 + 0.7 * (fires.sum(axis=1) > 0))
     estimates: dict = {}
     for _ in range(rounds):
         weight = np.stack([1 - posterior, posterior])  # (2, rows)
@@ -210,7 +231,7 @@ def label_model(fires: np.ndarray, label: np.ndarray, rounds: int = 12) -> tuple
                         np.log((1 - right[1] + 1e-6) / right[0]))
         logit = logit + np.where(known, tell, 0)
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        estimates = {"rate": rate, "share": share, "label": right, "together": together}
+        estimates = {"size": size, "rate": rate, "share": share, "label": right, "together": together}
     return posterior, estimates
 
 
@@ -234,10 +255,16 @@ def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 40, ridge: float
 # ---------------------------------------------------------------- on tables
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
-    """Mined terms and the weights of the linear classifier."""
-    sample = labelled_sample(docs, labels, label, MODULUS, HELD, most)
+    """Mined terms and the weights of the linear classifier.
+
+    Terms come from the labelled sample; the label model sees it and an unlabelled one, or the
+    unlabelled one alone. Where no voter fires at all, any that fires later says toxic.
+    """
+    marked = labelled_sample(docs, labels, label, MODULUS, HELD, most)
+    plain = unlabelled_sample(docs, labels, label, MODULUS, HELD, UNLABELLED)
+    sample = marked.unionByName(plain.withColumn("label", F.lit(-1)))
     sample = saved(sample.withColumn("least_hash", _least_hash(F.col("text"))), "toxic-sample")
-    terms = mine(sample)
+    terms = mine(sample.filter("label >= 0"))
     voters = Voters(terms)
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,13 +278,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     schema = "doc_id string, label int, fired array<int>, hits long, words long"
     rows = sorted(sample.mapInPandas(mark, schema).collect(), key=lambda r: (r.doc_id, r.label, r.words, r.hits))
     count = len(voters.names)
-    if not rows or len({r.label for r in rows}) < 2:
-        weight = np.zeros(count + 5)
+    if not any(r.fired for r in rows):
+        weight = np.zeros(count + SUMS + 1)
         weight[count], weight[-1] = 6.0, -4.0  # any voter fires or none
         return terms, weight
     x = np.array([features((r.fired, r.hits, r.words), count) for r in rows])
     posterior, _ = label_model(x[:, :count], np.array([r.label for r in rows]))
-    return terms, fit_linear(x, posterior)
+    believed, target = beliefs(voters)
+    return terms, fit_linear(np.concatenate([x, believed]), np.concatenate([posterior, target]))
 
 
 def scores_of(text, terms: list[str], weight: np.ndarray):

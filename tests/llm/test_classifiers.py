@@ -137,3 +137,88 @@ def test_quality_learns_from_whole_documents(spark):
     assert min(got[i] for i in range(0, 60, 2)) > max(got[i] for i in range(1, 60, 2))
     bounded = quality.train(docs, labels, lines=901 * 4)  # four whole documents, and not all of a kind
     assert np.isfinite(np.concatenate([np.ravel(v) for v in bounded.values()])).all()
+
+
+def test_posterior_by_enumeration():
+    """Both classes written out, factor by factor, with the estimates of the last round."""
+    rng = np.random.default_rng(9)
+    truth = rng.random(300) < 0.3
+    fires = np.array([np.where(truth, rng.random(300) < b, rng.random(300) < a) for a, b in [(0.05, 0.7), (0.1, 0.5), (0.3, 0.35)]])
+    fires = np.concatenate([fires, fires[:1]]).T.astype(float)  # the last voter repeats the first
+    label = np.where(rng.random(300) < 0.5, truth, -1).astype(int)
+    posterior, found = toxicity.label_model(fires, label)
+    rate, share, right, size = (found[k] for k in ("rate", "share", "label", "size"))
+    for row in range(300):
+        joint = []
+        for kind in (0, 1):
+            p = size[kind] + 1
+            for v in range(4):
+                p *= (rate[kind, v] if fires[row, v] else 1 - rate[kind, v]) ** share[v]
+            if label[row] >= 0:
+                p *= right[kind] if label[row] == kind else 1 - right[kind]
+            joint.append(p)
+        assert posterior[row] == pytest.approx(joint[1] / sum(joint), abs=1e-4)
+    weight = np.stack([1 - posterior, posterior])
+    for kind in (0, 1):  # settled: the estimates follow from the posterior they give
+        for v in range(4):
+            plain = (sum(weight[kind] * fires[:, v]) + (0.02, 0.1)[kind]) / (sum(weight[kind]) + 1)
+            assert rate[kind, v] == pytest.approx(plain, abs=0.01)
+
+
+def test_mined_terms_by_plain_counts(spark):
+    import math
+    import random
+
+    rng = random.Random(12)
+    words = [f"w{i}ord" for i in range(40)]
+    rows = []
+    for n in range(600):
+        toxic = n % 3 == 0
+        text = [rng.choice(words) for _ in range(12)] + [f"doc{n}"] + ([f"nasty{rng.randint(0, 2)}"] if toxic and rng.random() < 0.8 else [])
+        rows.append((" ".join(text), int(toxic)))
+    from pyspark.sql import functions as F
+
+    sample = spark.createDataFrame(rows, "text string, label int").withColumn("least_hash", toxicity._least_hash(F.col("text")))
+    kept = [(r.text, r.label) for r in sample.dropDuplicates(["label", "least_hash"]).collect()]
+    counts = {}
+    total = [sum(1 for _, k in kept if k == kind) for kind in (0, 1)]
+    for text, kind in kept:
+        own = set(text.split())
+        for term in own | {f"{w[:n]}*" for w in own for n in (4, 5, 6) if len(w) > n}:
+            counts.setdefault(term, [0, 0])[kind] += 1
+    want = set()
+    for term, (clean, toxic) in counts.items():
+        if toxic < max(toxicity.SUPPORT, toxicity.SHARE * total[1]) or toxic / total[1] <= toxicity.RATIO * clean / total[0]:
+            continue
+        cells = [[toxic, clean], [total[1] - toxic, total[0] - clean]]
+        gain = 0.0
+        for i in (0, 1):
+            for j in (0, 1):
+                expected = sum(cells[i]) * (cells[0][j] + cells[1][j]) / sum(total)
+                gain += 2 * cells[i][j] * math.log(cells[i][j] / expected) if cells[i][j] else 0
+        if gain >= toxicity.LEAST_GAIN:
+            want.add(term)
+    assert set(toxicity.mine(sample)) == want and {"nasty0", "nasty*"} <= want
+
+
+def test_every_lexicon_word_and_pattern_votes():
+    voters = toxicity.Voters(["mined"])
+    assert len(voters.names) == 1 + len(set(toxicity.LEXICON)) + 2
+    name = lambda text: {voters.names[i] for i in voters.marks(text)[0]}
+    assert name("You moron, you IDIOT") == {"<moron>", "<idiot>"}
+    assert name("1d10t") == {"<idiot>", "<digits>"} and name("mooooron") == {"<moron>", "<stretched>"}
+    assert name("a mined word") == {"mined"} and name("nothing here") == set()
+
+
+def test_label_model_without_labels(spark):
+    """Fitted on unlabelled documents alone: what voters mark together stands apart."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for n in range(400):
+        bad = n % 5 == 0
+        rows.append((n, f"text {n} " + ("you idiot and moron " if bad else "") + ("jerk " if rng.random() < 0.03 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect()}
+    bad, good = [got[n] for n in range(0, 400, 5)], [got[n] for n in range(400) if n % 5]
+    assert min(bad) > 0.5 and np.mean(good) < 0.2
+
