@@ -212,6 +212,7 @@ def label_model(fires: np.ndarray, label: np.ndarray, rounds: int = 12) -> tuple
         size = weight.sum(axis=1)
         rate = (weight @ fires + [[0.02], [0.1]]) / (size[:, None] + 1)
         rate = np.clip(rate, 1e-5, 1 - 1e-5)
+        rate[1] = np.maximum(rate[1], rate[0])  # a voter speaks for toxic or says nothing
         right = np.clip((weight[:, known] * np.stack([label[known] == 0, label[known] == 1])).sum(axis=1) + 4.5,
                         1e-6, None) / (weight[:, known].sum(axis=1) + 5)
         # Correlation inside the classes: how much of a voter others repeat.

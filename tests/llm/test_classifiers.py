@@ -218,7 +218,6 @@ def test_label_model_without_labels(spark):
         bad = n % 5 == 0
         rows.append((n, f"text {n} " + ("you idiot and moron " if bad else "") + ("jerk " if rng.random() < 0.03 else "")))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.score for r in toxicity.score(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect()}
-    bad, good = [got[n] for n in range(0, 400, 5)], [got[n] for n in range(400) if n % 5]
-    assert min(bad) > 0.5 and np.mean(good) < 0.2
-
+    got = toxicity.score(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect()
+    assert {r.doc_id for r in got if r.predicted} == set(range(0, 400, 5))
+    assert np.mean([r.score for r in got if r.doc_id % 5]) < 0.2
