@@ -89,7 +89,7 @@ def test_token_stage(stages):
 def test_registered():
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     numbers = {int(name[2:].split("_")[0]) for name in contract.queries() if name.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 def test_edges(spark):
