@@ -24,6 +24,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from motorlake.llm import tokens
 from motorlake.llm.common import clean_text, placed, saved
@@ -50,21 +51,24 @@ def sequences(docs: DataFrame, key: str, text: str, length: int, vocabulary: byt
         def rows():
             return pd.DataFrame(done, columns=["parts", "n_tokens", "ids"])
 
-        for batch in batches:
-            for doc_id, body in zip(batch["doc_id"], batch["text"]):
-                ids = memoryview(encode(body) + end)
-                at = 0
-                while at < len(ids):
-                    take = min(stride - len(held), len(ids) - at)
-                    held += ids[at : at + take]
-                    parts.append({"doc_id": doc_id, "first": at // 2, "n": take // 2})
-                    at += take
-                    if len(held) == stride:
-                        done.append((parts, length, bytes(held)))
-                        held, parts = bytearray(), []
-                if len(done) >= 256:
-                    yield rows()
-                    done = []
+        def coded():
+            for batch in batches:
+                yield from zip(batch["doc_id"], encode.texts(batch["text"].tolist()))
+
+        for doc_id, body in coded():
+            ids = memoryview(body.tobytes() + end)
+            at = 0
+            while at < len(ids):
+                take = min(stride - len(held), len(ids) - at)
+                held += ids[at : at + take]
+                parts.append({"doc_id": doc_id, "first": at // 2, "n": take // 2})
+                at += take
+                if len(held) == stride:
+                    done.append((parts, length, bytes(held)))
+                    held, parts = bytearray(), []
+            if len(done) >= 256:
+                yield rows()
+                done = []
         if held:
             n = len(held) // 2
             done.append((parts, n, bytes(held) + end * (length - n)))
@@ -72,7 +76,7 @@ def sequences(docs: DataFrame, key: str, text: str, length: int, vocabulary: byt
             yield rows()
 
     rows = docs.select(F.col(key).cast("string").alias("doc_id"), clean_text(text).alias("text"))
-    return placed(rows.mapInPandas(pack, f"{_PARTS}, n_tokens int, ids binary"), "sequences", level=9)
+    return placed(rows.mapInPandas(pack, f"{_PARTS}, n_tokens int, ids binary"), "sequences", level=6)
 
 
 # ---------------------------------------------------------------- the permutation
@@ -122,7 +126,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     shards = max(1, -(-size // slots))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        squeeze = zstandard.ZstdCompressor(9).compress  # less to shuffle
+        squeeze = zstandard.ZstdCompressor(6).compress  # less to shuffle
         for batch in batches:
             slot = permute(batch["position"].to_numpy(), size, order_key)
             yield pd.DataFrame({"slot": slot, "parts": batch["parts"], "n_tokens": batch["n_tokens"],
@@ -158,7 +162,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     return saved(
         written.select(
             "slot", "shard", ((F.col("slot") % slots) * stride).alias("start"), "n_tokens", "crc",
-            F.transform("parts", lambda p: F.struct(p.doc_id.cast("long").alias("doc_id"), p["first"].alias("first"),
+            F.transform("parts", lambda p: F.struct(p.doc_id.cast(docs.schema[key].dataType).alias("doc_id"), p["first"].alias("first"),
                                                     p.n.alias("n"))).alias("parts"),
         ),
         "slots",
@@ -204,8 +208,7 @@ def verify(written: DataFrame, folder: str, length: int = LENGTH, slots: int = S
                 good.append(zlib.crc32(file.read(stride)) == crc)
             yield batch.assign(stored=good)
 
-    names = "slot long, shard int, start long, n_tokens int, crc long, parts array<struct<doc_id:long,first:long,n:long>>"
-    return written.mapInPandas(check, f"{names}, stored boolean")
+    return written.mapInPandas(check, StructType([*written.schema, StructField("stored", BooleanType())]))
 
 
 def materialise(docs: DataFrame, **options) -> DataFrame:

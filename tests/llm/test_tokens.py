@@ -1,5 +1,7 @@
 """Token shards: an exact round trip in a permuted order."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -27,6 +29,32 @@ def test_pieces_are_exact(text):
     assert ids == encoding.encode_ordinary(text)
 
 
+def test_cut_texts_have_the_ids_of_the_library():
+    """White space of every kind beside words, alone and in runs, and texts of one section."""
+    file, draw = tokens.read_vocabulary(), random.Random(4)
+    encode, pieces = tokens.encoder(file).encode_ordinary, tokens.Pieces(file)
+    signs = [" "] * 5 + list("ab'1$é漢s\n\n\t\r\x01\x0b\x1c\x85\xa0\u2028\u3000")
+    texts = ["".join(draw.choices(signs, k=draw.randrange(14))) for _ in range(8000)]
+    texts += [" ".join(draw.choices(["so", "on's", "12,5", "x\ny", "und\tso"], k=40)) for _ in range(300)]
+    assert [ids.tolist() for ids in pieces.texts(texts)] == [encode(text) for text in texts]
+
+
+def test_words_forgotten_are_looked_up_again(monkeypatch):
+    monkeypatch.setattr(tokens, "_CACHED", 3)
+    monkeypatch.setattr(tokens, "_SECTION", 20)
+    monkeypatch.setattr(tokens, "_AT_ONCE", 2)
+    file = tokens.read_vocabulary()
+    texts = [f"the w{i % 7} and w{i % 11}\nof\t{i} " for i in range(60)]
+    encode = tokens.encoder(file).encode_ordinary
+    assert [ids.tolist() for ids in tokens.Pieces(file).texts(texts)] == [encode(text) for text in texts]
+
+
+def test_ids_that_are_text_stay_text(spark):
+    docs = spark.createDataFrame([("a-1", "one text"), (None, "no id"), ("9" * 30, None)], "doc_id string, text string")
+    rows = token_shards.slots(docs).collect()
+    assert sorted(str(i) for r in rows for i in r.doc_ids) == ["9" * 30, "None", "a-1"] and all(r.stored for r in rows)
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 5, 64, 65, 1000, 4097])
 def test_permutation_is_one_to_one(size):
     slots = token_shards.permute(np.arange(size), size)
