@@ -15,17 +15,22 @@ counts from ``SIMILARITY`` on. Similarity 0.8 leaves about ten differing bits wi
 deviation of three; the radius lies over four deviations beyond.
 
 A window without any shingle of an item has similarity 0 to it, so windows are only formed
-where a document holds one; nothing is lost by that. No table is shuffled: the items travel
-to the documents in blocks of at most ``ITEM_CHARS`` characters, one pass over the documents
-per block. A null or empty text or item matches nothing, repeated items match each for
-itself, and an empty table gives an empty result.
+where a document holds one, and held against the items that have it; nothing is lost by that.
+The documents are read once for a benchmark of any size: each keeps the hashes of its shingles
+that a filter of ``FILTER_BITS`` bits lets pass (all shingles of items do), and the others
+leave. What is left is joined with the items' shingles and sent to the blocks of items, of
+about ``ITEM_CHARS`` characters, that share one with it. A task holds one block and reads
+documents in a stream; a block that many documents meet is dealt to many tasks. A null or empty
+text or item matches nothing, repeated items match each for itself, and an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -34,17 +39,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import clean_text, packed
+from motorlake.llm.common import clean_text, keyed, saved
 
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS = 8
 ITEM_CHARS = 4 << 20
+FILTER_BITS = 1 << 26  # a power of two, 2**16 at least
+DOC_CHARS = 8 << 20  # of the documents a task holds against one block of items
+_ITEM_COST = 512  # characters an item counts as beside its own, for its tables
+_HASHED = 400_000  # words whose hashes a task remembers
+_PAIRS = 1 << 20  # pairs of window and item compared at once
 _WIDTH = 64 // BLOCKS
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WINDOWS = 8192  # windows compared at once
-_MATCH = "array<struct<item_id:long,similarity:double,distance:int,start:long,words:long>>"
 _WORDS = re.compile(r"\w+")
 
 
@@ -68,6 +77,32 @@ def shingle_bits(parts: list[str]) -> np.ndarray:
     return np.unpackbits(np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8), axis=1)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered by word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _HASHED:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word.encode(), 0)
+        return value
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def codes_of(hashes: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash for each run of ``length`` words."""
+    count = len(hashes) - length + 1
+    if count <= 0:
+        return np.empty(0, dtype=np.uint64)
+    code = np.full(count, length, dtype=np.uint64)
+    for shift in range(length):
+        code += hashes[shift : shift + count]
+        code *= _BASE
+        code ^= code >> np.uint64(31)
+    return code
+
+
 def _prints(sums: np.ndarray, size: int) -> np.ndarray:
     """Fingerprints as rows of eight bytes out of sums of bits over ``size`` shingles."""
     return np.packbits(sums * 2 > size, axis=1)
@@ -85,88 +120,77 @@ def near_values(value: int, bits: int, width: int = _WIDTH) -> list[int]:
 class Items:
     """The multi-index over the items of one block."""
 
-    def __init__(self, rows: list[tuple[int, str]], radius: int, threshold: float):
+    def __init__(self, rows: list[tuple[str, str]], radius: int, threshold: float):
         self.radius, self.threshold = radius, threshold
         self.ids, self.words, self.bags = [], [], []
-        self.word_ids: dict[str, int] = {}
+        self.hashes = WordHashes()
         by_size: dict[int, list[int]] = defaultdict(list)
+        self.row: list[int] = []  # of each item among those of its size
+        # Items by the codes of their shingles, by shingle length: what a window must share.
+        self.codes: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for item_id, text in rows:
             words = words_of(text)
             if not words:
                 continue
-            by_size[len(words)].append(len(self.ids))
+            number, length = len(self.ids), min(SHINGLE, len(words))
+            self.row.append(len(by_size[len(words)]))
+            by_size[len(words)].append(number)
             self.ids.append(item_id)
             self.words.append(words)
-            self.bags.append(Counter(shingles(words, min(SHINGLE, len(words)))))
-            for word in words:
-                self.word_ids.setdefault(word, len(self.word_ids) + 1)
+            self.bags.append(Counter(shingles(words, length)))
+            for code in np.unique(codes_of(self.hashes.of(words), length)).tolist():
+                self.codes[length][code].append(number)
         self.sizes = {size: self._tables(size, members) for size, members in by_size.items()}
-        # Codes of the shingles of items, by shingle length: what a window must hold one of.
-        self.codes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for size, members in by_size.items():
-            length = min(SHINGLE, size)
-            for item in members:
-                for code in self._codes(self._as_ids(self.words[item]), length)[1].tolist():
-                    self.codes[length][code].add(size)
         self.gates = {n: np.array(sorted(codes), dtype=np.uint64) for n, codes in self.codes.items()}
 
     def _tables(self, size: int, members: list[int]):
+        """Members of one size, their fingerprints, and whether a member is near a value of a
+        block: a table with all values of every block."""
         length = min(SHINGLE, size)
         bits = [shingle_bits(shingles(self.words[m], length)).sum(axis=0, dtype=np.int64) for m in members]
         prints = _prints(np.array(bits), size - length + 1)
-        tables = [defaultdict(list) for _ in range(BLOCKS)]
+        tables = np.zeros((BLOCKS, 1 << _WIDTH, len(members)), dtype=bool)
         for row, blocks in enumerate(prints):
             for table, value in zip(tables, blocks.tolist()):
-                for near in near_values(value, self.radius // BLOCKS):
-                    table[near].append(row)
-        return members, prints.view(np.uint64).ravel(), tables
-
-    def _as_ids(self, words: list[str]) -> np.ndarray:
-        get = self.word_ids.get
-        return np.fromiter((get(w, 0) for w in words), dtype=np.uint64, count=len(words))
-
-    @staticmethod
-    def _codes(ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places where ``length`` words of items follow each other, and their codes."""
-        count = len(ids) - length + 1
-        if count <= 0:
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
-        code, known = np.zeros(count, dtype=np.uint64), np.ones(count, dtype=bool)
-        with np.errstate(over="ignore"):
-            for shift in range(length):
-                part = ids[shift : shift + count]
-                code = (code + part) * _BASE
-                code ^= code >> np.uint64(31)
-                known &= part > 0
-        places = np.flatnonzero(known)
-        return places, code[places]
-
-    def search(self, text: str) -> list[dict]:
-        """The best window of every item this text holds."""
+                table[near_values(value, self.radius // BLOCKS), row] = True
+        return np.array(members), prints.view(np.uint64).ravel(), tables
+
+    def search(self, text: str) -> list[tuple]:
+        """(item, similarity, distance, start, words): the best window of every item this
+        text holds."""
         words = words_of(text)
-        ids = self._as_ids(words)
-        if not ids.any():
-            return []
-        wanted: dict[int, list[int]] = defaultdict(list)  # item size -> places of its shingles
+        hashes = self.hashes.of(words)
+        places: dict[int, list[int]] = defaultdict(list)  # item size -> places of its shingles
+        sharing: dict[int, set[int]] = defaultdict(set)  # item size -> items with one of them
         for length, gate in self.gates.items():
             # A text shorter than its items' shingles cannot hold one.
-            places, codes = self._codes(ids, length)
+            codes = codes_of(hashes, length)
             near = np.minimum(np.searchsorted(gate, codes), len(gate) - 1)
-            hit = gate[near] == codes
-            for place, code in zip(places[hit].tolist(), codes[hit].tolist()):
-                for size in self.codes[length][code]:
-                    wanted[size].append(place)
-        best: dict[int, dict] = {}
-        for size, places in wanted.items():
-            self._windows(words, size, places, best)
-        return [best[k] for k in sorted(best)]
-
-    def _windows(self, words: list[str], size: int, places: list[int], best: dict[int, dict]) -> None:
+            hit = np.flatnonzero(gate[near] == codes)
+            at: dict[int, list[int]] = defaultdict(list)
+            for place, code in zip(hit.tolist(), codes[hit].tolist()):
+                at[code].append(place)
+            for code, found in at.items():
+                members = self.codes[length][code]
+                sizes = {len(self.words[item]) for item in members}
+                for size in sizes:
+                    places[size] += found
+                for item in members:
+                    sharing[len(self.words[item])].add(self.row[item])
+        best: dict[int, tuple] = {}
+        for size, found in places.items():
+            self._windows(words, size, found, np.array(sorted(sharing[size])), best)
+        return [(self.ids[item], *best[item]) for item in sorted(best)]
+
+    def _windows(self, words, size: int, places: list[int], rows: np.ndarray, best: dict[int, tuple]) -> None:
         length, span = min(SHINGLE, size), min(size, len(words))
         count = span - length + 1  # shingles of a window
         last = len(words) - span
-        lead = np.array(places, dtype=np.int64)[:, None] - np.arange(count)[None, :]
-        starts = np.unique(lead[(lead >= 0) & (lead <= last)])
+        places = np.array(places, dtype=np.int64)
+        lead = np.maximum(places - count + 1, 0)  # first window over each place
+        over = np.bincount(lead[lead <= last], minlength=last + 2)
+        over -= np.bincount(np.minimum(places, last)[lead <= last] + 1, minlength=last + 2)
+        starts = np.flatnonzero(np.cumsum(over) > 0)
         for block in np.split(starts, range(_WINDOWS, len(starts), _WINDOWS)):
             if not len(block):
                 continue
@@ -178,63 +202,140 @@ class Items:
                 np.cumsum(bits, axis=0, out=sums[1:])
                 at = run - first
                 prints = _prints(sums[at + count] - sums[at], count)
-                self._compare(words, size, span, run, prints, best)
+                step = max(1, _PAIRS // len(rows))
+                for a in range(0, len(run), step):
+                    self._compare(words, size, span, run[a : a + step], prints[a : a + step], rows, best)
 
-    def _compare(self, words, size, span, starts, prints, best) -> None:
+    def _compare(self, words, size, span, starts, prints, rows, best) -> None:
         members, items, tables = self.sizes[size]
-        length = min(SHINGLE, size)
-        for start, blocks, whole in zip(starts.tolist(), prints.tolist(), prints.view(np.uint64).ravel()):
-            found = {row for table, value in zip(tables, blocks) for row in table.get(value, ())}
-            bag = None
-            for row in found:
-                distance = int(np.bitwise_count(items[row] ^ whole))
-                if distance > self.radius:
-                    continue
-                bag = bag or Counter(shingles(words[start : start + span], length))
-                item = members[row]
-                alike = similarity(bag, self.bags[item])
-                if alike >= self.threshold and (item not in best or alike > best[item]["similarity"]):
-                    best[item] = {"item_id": self.ids[item], "similarity": alike, "distance": distance,
-                                  "start": start, "words": span}
-
-
-def item_blocks(benchmark: DataFrame, chars: int = ITEM_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``chars`` characters, each small enough for a task."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), clean_text("text").alias("text"))
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = total // chars + 1
-    for block in range(blocks):
-        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield [(r.item_id, r.text) for r in part.toLocalIterator()]
-
-
-def _search(items: list[tuple[int, str]], radius: int, threshold: float):
-    @F.pandas_udf(_MATCH)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Items(items, radius, threshold)
-        for texts in batches:
-            yield pd.Series([index.search(t) for t in texts], dtype=object)
-
-    return run
+        found = np.zeros((len(starts), len(rows)), dtype=bool)
+        for table, values in zip(tables, prints.T):
+            found |= table[:, rows][values]
+        distance = np.bitwise_count(prints.view(np.uint64).reshape(-1, 1) ^ items[rows][None, :])
+        length, bags = min(SHINGLE, size), {}
+        for at, row in np.argwhere(found & (distance <= self.radius)).tolist():
+            start, item = int(starts[at]), int(members[rows[row]])
+            if at not in bags:
+                bags = {at: Counter(shingles(words[start : start + span], length))}
+            alike = similarity(bags[at], self.bags[item])
+            if alike >= self.threshold and (item not in best or alike > best[item][0]):
+                best[item] = alike, int(distance[at, row]), start, span
+
+
+# ---------------------------------------------------------------- on tables
+
+class Benchmark:
+    """The stored items, each in a block small enough for a task, the codes of their shingles
+    and the filter that all of those pass."""
+
+    def __init__(self, benchmark: DataFrame, chars: int):
+        rows = benchmark.select(F.col("item_id").cast("long").cast("string").alias("id"), clean_text("text").alias("text"))
+        total = rows.agg(F.sum(F.length("text") + _ITEM_COST)).first()[0] or 0
+        block = F.pmod(F.xxhash64("id", "text"), F.lit(total // chars + 1)).cast("int")
+        self.items = saved(rows.withColumn("block", block), "leak-items")
+        self.codes = saved(self.items.mapInPandas(_item_codes, "length int, code long, block int").distinct(), "leak-codes")
+        self.lengths = sorted(r.length for r in self.codes.select("length").distinct().collect())  # 5 at most
+        low, high = (F.col("code").bitwiseAND(F.lit(FILTER_BITS - 1)),
+                     F.shiftrightunsigned("code", 32).bitwiseAND(F.lit(FILTER_BITS - 1)))
+        place = self.codes.select(F.explode(F.array(low, high)).alias("place")).select((F.col("place") + 1).alias("place"))
+        marked = place.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        self.filter = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+        for r in marked.collect():  # never more than the filter's own size
+            part = np.frombuffer(r.bits, dtype=np.uint8)
+            self.filter[(r.part - 1) * len(part) : r.part * len(part)] = part
+
+    def candidates(self, spark):
+        """A function of texts: the codes of their shingles that pass the filter."""
+        lengths, shipped = self.lengths, spark.sparkContext.broadcast(self.filter)
+
+        @F.pandas_udf("array<long>")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            hashes, bits, mask = WordHashes(), shipped.value, np.uint64(FILTER_BITS - 1)
+
+            def passes(place: np.ndarray) -> np.ndarray:
+                return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+            def found(text: str) -> np.ndarray:
+                values, out = hashes.of(words_of(text)), []
+                for length in lengths:
+                    code = codes_of(values, length)
+                    code = code[passes(code & mask)]
+                    out.append(np.unique(code[passes((code >> np.uint64(32)) & mask)]).view(np.int64))
+                return np.concatenate(out) if out else np.empty(0, dtype=np.int64)
+
+            for texts in batches:
+                yield pd.Series(list(map(found, texts)), dtype=object)
+
+        return run.asNondeterministic()  # run once, not again in each filter on its result
+
+    def matches(self, docs: DataFrame, radius: int, threshold: float) -> DataFrame:
+        """(row_id, item_id, similarity, distance, start, words) out of the stored rows
+        (row_id, text, codes)."""
+        shared = docs.select("row_id", F.length("text").alias("chars"), F.explode("codes").alias("code")).join(
+            self.codes.select("code", "block"), "code")
+        pairs = saved(shared.select("row_id", "chars", "block").distinct(), "leak-pairs")
+        tasks = pairs.groupBy("block").agg((F.floor(F.sum("chars") / DOC_CHARS) + 1).cast("int").alias("tasks"))
+        items = self.items.join(tasks, "block").select(
+            "block", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(0).alias("kind"), "id", "text")
+        rows = pairs.select("row_id", "block").join(tasks, "block").join(docs.select("row_id", "text"), "row_id").select(
+            "block", F.pmod(F.xxhash64("row_id"), "tasks").cast("int").alias("task"), F.lit(1).alias("kind"),
+            F.col("row_id").cast("string").alias("id"), "text")
+        dealt = items.unionByName(rows).repartition("block", "task").sortWithinPartitions("block", "task", "kind")
+        found = dealt.mapInPandas(
+            functools.partial(_search, radius=radius, threshold=threshold),
+            "row_id string, item_id string, similarity double, distance int, start long, words long")
+        return found.withColumns({"row_id": F.col("row_id").cast("long"), "item_id": F.col("item_id").cast("long")})
+
+
+def _item_codes(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
+    for frame in batches:
+        for block, text in zip(frame["block"], frame["text"]):
+            words = words_of(text)
+            if words:
+                length = min(SHINGLE, len(words))
+                codes = np.unique(codes_of(hashes.of(words), length)).view(np.int64)
+                yield pd.DataFrame({"length": length, "code": codes, "block": block})
+
+
+def _search(batches: Iterable[pd.DataFrame], radius: int, threshold: float) -> Iterator[pd.DataFrame]:
+    """Items of a block come first, then the documents to hold against them."""
+    held, items, index = None, [], None
+    for frame in batches:
+        out = []
+        for block, kind, name, text in zip(frame["block"], frame["kind"], frame["id"], frame["text"]):
+            if block != held:
+                held, items, index = block, [], None
+            if kind == 0:
+                if index is None:  # else the next task's copy of the same items
+                    items.append((name, text))
+                continue
+            index = index or Items(items, radius, threshold)
+            out += [(name, *match) for match in index.search(text)]
+        yield pd.DataFrame(out, columns=["row_id", "item_id", "similarity", "distance", "start", "words"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS,
             threshold: float = SIMILARITY, chars: int = ITEM_CHARS) -> DataFrame:
     """(doc_id, item_id, similarity, distance, start, words) for each item a document holds:
     its best window, the first of equals. Documents without any have no row."""
-    out = None
-    for items in item_blocks(benchmark, chars):
-        found = docs.select(F.col(key).alias("doc_id"), _search(items, radius, threshold)(clean_text(text)).alias("m"))
-        rows = found.select("doc_id", F.inline("m"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    index = Benchmark(benchmark, chars)
+    rows = docs.select(F.col(key).alias("doc_id"), clean_text(text).alias("text"))
+    hits = rows.withColumn("codes", index.candidates(docs.sparkSession)("text")).filter(F.size("codes") > 0)
+    hits = saved(hits.withColumn("row_id", F.monotonically_increasing_id()), "leak-rows")
+    return index.matches(hits, radius, threshold).join(hits.select("row_id", "doc_id"), "row_id").select(
+        "doc_id", "item_id", "similarity", "distance", "start", "words")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", radius: int = RADIUS,
           threshold: float = SIMILARITY, chars: int = ITEM_CHARS) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
-    rows = packed(docs)
-    for items in item_blocks(benchmark, chars):
-        found = _search(items, radius, threshold)(clean_text(f"row.{text}"))
-        rows = rows.withColumn("m", found).filter(F.size("m") == 0).select("row")
-    return rows.select("row.*")
+    """The documents that hold no item, with all their columns. Only documents that share a
+    shingle with an item are shuffled."""
+    index = Benchmark(benchmark, chars)
+    rows = keyed(docs, "leak-rows", codes=index.candidates(docs.sparkSession)(clean_text(f"row.{text}")))
+    shares = F.size("codes") > 0
+    hits = rows.filter(shares).select("row_id", clean_text(f"row.{text}").alias("text"), "codes")
+    found = index.matches(hits, radius, threshold).select("row_id")
+    kept = rows.filter(shares).join(found, "row_id", "left_anti").select("row")
+    return rows.filter(~shares).select("row").unionByName(kept).select("row.*")

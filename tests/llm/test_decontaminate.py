@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from motorlake.llm import decontaminate as D
@@ -60,6 +61,39 @@ def test_matches(spark, chars):
     assert sorted(r.doc_id for r in clean.collect()) == [4, 5, 6, 7]
 
 
+@pytest.mark.parametrize("bits, docs_chars", [(1 << 16, 3000), (1 << 26, 9000)])
+def test_blocks_dealt_to_many_tasks_and_a_crowded_filter(spark, monkeypatch, bits, docs_chars):
+    """Items share a beginning that half of the documents hold too, and texts are repeated."""
+    monkeypatch.setattr(D, "FILTER_BITS", bits)
+    monkeypatch.setattr(D, "DOC_CHARS", docs_chars)
+    common = "which of the following statements is true about"
+    items = [(i, f"{common} " + " ".join(prose(12 + i % 5))) for i in range(12)] + [(None, f"{common} no id at all")]
+    rows = [(i, " ".join(prose(30) + common.split() + prose(40))) for i in range(20)]
+    rows += [(100 + i, " ".join(prose(9)) + f" {items[i % 13][1]} " + (common + " ") * 10) for i in range(16)] + rows[-1:] * 3
+    bench = spark.createDataFrame([(*r, "") for r in items], ITEMS)
+    docs = spark.createDataFrame([(*r, "", "") for r in rows], DOCS)
+    got = sorted((str((r.doc_id, r.item_id, round(r.similarity, 9), r.start)) for r in
+                  D.matches(docs, bench, chars=2500).collect()))
+    want = [str((d, i, *found)) for d, t in rows for i, item in items if (found := brute(t, item))]
+    assert got == sorted(want) and len(want) >= 16
+    held = {d for d, t in rows if d >= 100}
+    assert held == {r.doc_id for r in D.matches(docs, bench).collect()}
+    assert sorted(r.doc_id for r in D.clean(docs, bench, chars=2500).collect()) == sorted(d for d, _ in rows if d not in held)
+
+
+def test_the_filter_lets_all_shingles_of_items_pass(spark):
+    bench = spark.createDataFrame([(*r, "") for r in BENCH], ITEMS)
+    index = D.Benchmark(bench, 700)
+    assert index.lengths == [2, 5] and index.items.select("block").distinct().count() > 2
+    hashes = D.WordHashes()
+    for _, text in BENCH:
+        words = D.words_of(text or "")
+        for code in D.codes_of(hashes.of(words), min(5, len(words))).tolist() if words else []:
+            for place in (code % D.FILTER_BITS, (code >> 32) % D.FILTER_BITS):
+                assert index.filter[place // 8] >> (place % 8) & 1
+    assert np.unpackbits(index.filter).sum() <= 2 * index.codes.count()
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([(*r, "", "") for r in ROWS], DOCS)
     bench = spark.createDataFrame([(*r, "") for r in BENCH], ITEMS)
