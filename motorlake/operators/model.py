@@ -139,6 +139,24 @@ def _model_input(rows: DataFrame) -> DataFrame:
     )
 
 
+# Rows a part of the trainer's input should have, and the most it may have.
+PART_ROWS, LARGEST_PART = 10_000, 1_000_000
+
+
+def trainer_input(rows: DataFrame) -> DataFrame:
+    """Stored training rows dealt into even parts, one for every core.
+
+    The trainer caches these parts and passes over them once per round and level. Encoded
+    rows compress to a few bytes, so the splits of their files are of any size and number:
+    every pass waits for the largest, and each part costs it a set of histograms. Beyond
+    ``LARGEST_PART`` rows a part, more rows make more parts.
+    """
+    total = rows.count()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(total // PART_ROWS, cores), -(-total // LARGEST_PART))
+    return rows.repartition(parts)
+
+
 def train_price_model(
     train: DataFrame, path: str, settings: TrainingSettings = TrainingSettings()
 ) -> PipelineModel:
@@ -162,7 +180,7 @@ def train_price_model(
     # The trainer scans its input several times before it caches; give it a stored table
     # instead of the joins.
     needed = encoded.select("Log_Price", *ENCODED, *NUMERICS)
-    vectors = materialise(needed, f"{path}/input")
+    vectors = trainer_input(materialise(needed, f"{path}/input"))
     model = Pipeline(stages=[assembler, trees]).fit(vectors)
     model.write().overwrite().save(f"{path}/trees")
     return model

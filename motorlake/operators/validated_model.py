@@ -36,7 +36,7 @@ def train_validated(
         for rows, out_of_fold in ((fitting, True), (validation, False))
     ]
     # The trainer scans its input several times: a stored table instead of the joins.
-    vectors = tables.materialise(both[0].unionByName(both[1]), f"{path}/input")
+    vectors = model.trainer_input(tables.materialise(both[0].unionByName(both[1]), f"{path}/input"))
     trees = GBTRegressor(
         featuresCol="features",
         labelCol="Log_Price",

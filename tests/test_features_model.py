@@ -263,3 +263,17 @@ def test_request_bounds(spark, change, problems):
 
 def test_car_age(spark):
     assert values(spark, features.car_age, [2015, None], "int") == [10.0, None]
+
+
+def test_trainer_input_is_even_whatever_the_files_are(spark, tmp_path, monkeypatch):
+    """One large file beside many small ones: a part per core, none much larger than the rest."""
+    monkeypatch.setattr(model, "PART_ROWS", 100)
+    path = str(tmp_path / "input")
+    spark.range(9_000).coalesce(1).write.parquet(path)
+    spark.range(9_000, 10_000).repartition(30).write.mode("append").parquet(path)
+    dealt = model.trainer_input(spark.read.parquet(path))
+    sizes = [len(part) for part in dealt.rdd.glom().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 10_000 and max(sizes) <= 1.1 * min(sizes)
+    monkeypatch.setattr(model, "LARGEST_PART", 500)
+    assert model.trainer_input(spark.read.parquet(path)).rdd.getNumPartitions() == 20
