@@ -201,7 +201,7 @@ _REQUESTS = """
 
 
 def _requests(spark, sf):
-    return spark.sql(_REQUESTS, orders=adapters.table(spark, sf, "orders"))
+    return spark.sql(_REQUESTS, orders=tables.spread_scan(adapters.table(spark, sf, "orders")))
 
 
 _REQUEST_FEATURES = {

@@ -277,3 +277,11 @@ def test_trainer_input_is_even_whatever_the_files_are(spark, tmp_path, monkeypat
     assert sum(sizes) == 10_000 and max(sizes) <= 1.1 * min(sizes)
     monkeypatch.setattr(model, "LARGEST_PART", 500)
     assert model.trainer_input(spark.read.parquet(path)).rdd.getNumPartitions() == 20
+
+
+def test_scored_requests_take_every_core(spark, sf):
+    from motorlake.plans import model_queries
+
+    # One small file is one split; scoring, not reading, takes the time.
+    requests = model_queries._requests(spark, sf)
+    assert requests.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
