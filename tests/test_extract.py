@@ -1,4 +1,5 @@
 import html
+import random
 
 from pyspark.sql import functions as F
 
@@ -6,7 +7,7 @@ from motorlake import constants as K
 from motorlake import schemas
 from motorlake.operators import extract, ingest, search
 from motorlake.plans import adapters, listings, price_model
-from motorlake.sources import markup
+from motorlake.sources import markup, tables
 
 
 def pages(spark, *htmls, key="page_id"):
@@ -254,3 +255,62 @@ def test_the_first_landing_of_a_car_counts(spark):
     landed = spark.createDataFrame([("1", page("old"), 4), ("1", page("new"), 9)], "car_id string, html string, at long")
     for rows_ in (landed, landed.orderBy(F.desc("at")).coalesce(1)):
         assert [r.value for r in price_model.tags_from_pages(rows_, "at").collect()] == ["old"]
+
+
+def _tree(node):
+    return node.tag, node.attrs, [c if isinstance(c, str) else _tree(c) for c in node.children]
+
+
+def _built(page):
+    builder = markup._Builder()
+    builder.feed(page)
+    builder.close()
+    return builder.root
+
+
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    plain = (
+        "<!DOCTYPE html><DIV Class='a b' data-x=\"1>\"></DIV>", "<p>a<br/><i/>b</p></u>c<!-- <b>-</b> -->d", "",
+        "<a href=\"/x?y=1\" HIDDEN>x &amp; y</a >", "<script>if (a<b) x('</div>')</script><style></style>t &lt;",
+        "<title>T</title><td\n x='1'\n>1 > 0</td><p><b>open</p>", "<!----><x><!--x--->y</x><div",
+    )
+    odd = ("<a href=x>", "a < b", "<a b='&lt;'>", "<p", "<!-->x", "<!-- a", "<script>x", "<a/ b>", "<é>", "<?x?>", "</>")
+    for page in (*plain, *odd):
+        assert _tree(markup.parse(page)) == _tree(_built(page)), page
+    assert all(markup._parse_plain(page) is None for page in odd)
+
+
+def test_pieces_of_markup_in_any_order_give_one_tree():
+    pieces = (
+        "<div>", "</div>", "<div class='a b'>", '<a href="/x?y=1">', "</a>", "<br/>", "<i/>", "text", " ", "&amp;", "&",
+        "a < b", "<!-- c -->", "<!-- <b> -->", "<!-- a -- b -->", "<!DOCTYPE html>", "<script>", "</script>",
+        "<script>var a='<div>';</script>", "<title>", "</title>", "<DIV CLASS=\"Q\">", "</ div>", "<a href=x>",
+        "<p x='a>b'>", "<img src=\"/s/\"/>", "<textarea>", "</br>", "<p", "&#65;", "--", ">", "'",
+    )
+    draw, plain = random.Random(3), 0
+    for _ in range(3000):
+        page = "".join(draw.choice(pieces) for _ in range(draw.randint(1, 8)))
+        read = markup._parse_plain(page)
+        plain += read is not None
+        assert _tree(markup.parse(page)) == _tree(_built(page)), page
+    assert plain > 300
+
+
+def test_pages_of_one_site_do_not_need_the_general_parser(spark, sf, monkeypatch):
+    """Search, detail and category pages are all read in one cut, none by ``_Builder``."""
+    cars = adapters.cars(spark, sf)
+    made = [adapters.offer_pages(cars), adapters.detail_pages(cars), adapters.category_pages(adapters.items(spark, sf))]
+    for kind in made:
+        for row in kind.limit(50).collect():
+            assert _tree(markup._parse_plain(row["html"])) == _tree(_built(row["html"]))
+
+
+def test_tasks_of_heavy_work_follow_the_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(10_000).coalesce(1).write.parquet(path)
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 500)
+    spread = tables.spread_scan(spark.read.parquet(path))
+    sizes = [len(part) for part in spread.rdd.glom().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 600 and sum(sizes) == 10_000
+    small = spark.read.parquet(path).where("id < 10")
+    assert tables.spread_scan(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
