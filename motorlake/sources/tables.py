@@ -18,17 +18,25 @@ def scan_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
+# Fixed value: rows of heavy work a task should get at most.
+ROWS_A_TASK = 250_000
+
+
 def spread_scan(rows: DataFrame) -> DataFrame:
-    """A stored table ahead of heavy per-row work, with a task for every core.
+    """A stored table ahead of heavy per-row work: a task for every core, and more of them
+    where rows are many.
 
-    One small file is one split, and would keep one core busy. A table that already comes
-    in enough splits passes through untouched; only a smaller one is dealt out. For plain
-    scans: counting splits plans the scan and runs nothing.
+    Splits follow bytes, and short rows compress well: one split may be millions of rows,
+    and one small file keeps one core busy. A table that already comes in enough splits
+    passes through untouched. For plain scans: counting their rows reads no column.
     """
+    if rows.isStreaming:
+        return rows
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+    wanted = max(cores, -(-rows.count() // ROWS_A_TASK))
+    if rows.rdd.getNumPartitions() >= wanted:
         return rows
-    return rows.repartition(cores)
+    return rows.repartition(wanted)
 
 
 def ensure_table(
