@@ -1,7 +1,7 @@
 """Rows out of landed HTML pages.
 
 Input is always a table (page_id, html). Where an answer depends on how elements nest,
-``mapInPandas`` parses each page with the helper in ``sources.markup``; pages that cannot
+``mapInArrow`` parses each page with the helper in ``sources.markup``; pages that cannot
 hold a card are dropped in the JVM first and never cross into Python. The flat variants
 are regular expressions and stay in the JVM altogether.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ TAG_COLUMNS = "pos int, attribute string, value string"
 PAGES_PER_OUTPUT = 256
 
 
+_ARROW = {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+
+
 def _map_pages(pages: DataFrame, key: str, rows_of, columns: str, carried: Sequence[str] = ()) -> DataFrame:
     """Run ``rows_of(html)`` on every page; its rows get the page key in front, and behind it
     the carried columns of the page.
@@ -48,21 +52,26 @@ def _map_pages(pages: DataFrame, key: str, rows_of, columns: str, carried: Seque
     whole input batch.
     """
     kept = [key, *carried]
-    names = [*kept, *[field.split()[0] for field in columns.split(", ")]]
+    fields = [field.split() for field in columns.split(", ")]
     schema = ", ".join([*[f"{c} {pages.schema[c].dataType.simpleString()}" for c in kept], columns])
+    names, types = [*kept, *[name for name, _ in fields]], [_ARROW[kind] for _, kind in fields]
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, len(batch), PAGES_PER_OUTPUT):
-                piece = batch.iloc[start : start + PAGES_PER_OUTPUT]
-                rows = [
-                    (*page, *row)
-                    for *page, html in zip(*[piece[c] for c in kept], piece["html"])
-                    for row in rows_of(html)
-                ]
-                yield pd.DataFrame(rows, columns=names, dtype=object)
-
-    return pages.select(*kept, "html").mapInPandas(extract, schema)
+            for start in range(0, batch.num_rows, PAGES_PER_OUTPUT):
+                piece = batch.slice(start, PAGES_PER_OUTPUT)
+                rows, owners = [], []
+                for owner, html in enumerate(piece.column(len(kept)).to_pylist()):
+                    found = [*rows_of(html)]
+                    rows += found
+                    owners += [owner] * len(found)
+                if rows:
+                    owner = pa.array(owners, pa.int32())
+                    keys = [piece.column(i).take(owner) for i in range(len(kept))]
+                    read = [pa.array(values, kind) for values, kind in zip(zip(*rows), types)]
+                    yield pa.RecordBatch.from_arrays([*keys, *read], names)
+
+    return pages.select(*kept, "html").mapInArrow(extract, schema)
 
 
 # ---------------------------------------------------------------- category pages
