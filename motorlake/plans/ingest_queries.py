@@ -426,11 +426,17 @@ _STREAMED = with_tables(
 )
 
 
-def _landed(spark, pages):
-    """Pages landed in files of their own, read as a stream of one file a micro-batch."""
+# Micro-batches of a landing, and pages a landed file should hold at most.
+BATCHES, FILE_PAGES = 3, 100_000
+
+
+def _landed(spark, rows, pages_of):
+    """Pages made of stored rows and landed in files of their own, read as a stream of a few
+    micro-batches. More rows are more files a micro-batch, each written by a task of its own."""
+    a_batch = max(1, -(-rows.count() // (BATCHES * FILE_PAGES)))
     folder = new_folder(spark, "landing")
-    pages.repartition(3).write.parquet(folder)
-    return landing.read_landing(spark, folder, spark.read.parquet(folder).schema, 1)
+    pages_of(rows.repartition(BATCHES * a_batch)).write.parquet(folder)
+    return landing.read_landing(spark, folder, spark.read.parquet(folder).schema, a_batch)
 
 
 @query("stream_extract_upsert", _STREAMED)
@@ -444,12 +450,18 @@ def stream_extract_upsert(spark, sf):
 @query("compact_card_log", _STREAMED)
 def compact_card_log(spark, sf):
     """A log is compacted between its first and its second stream."""
-    listed = adapters.items(spark, sf)
+    part = adapters.table(spark, sf, "part")
     folder = new_folder(spark, "compacted")
-    older = adapters.category_pages(listed.withColumn("l_text", F.lit("old")))
-    landing.stream_extract_upsert(_landed(spark, older), f"{folder}/a", f"{folder}/a-check").awaitTermination()
+
+    def listed(rows):
+        return adapters.category_pages(adapters.items_of(rows))
+
+    def older(rows):
+        return adapters.category_pages(adapters.items_of(rows).withColumn("l_text", F.lit("old")))
+
+    landing.stream_extract_upsert(_landed(spark, part, older), f"{folder}/a", f"{folder}/a-check").awaitTermination()
     landing.compact_log(spark, f"{folder}/a", f"{folder}/b")
-    newer = _landed(spark, adapters.category_pages(listed))
+    newer = _landed(spark, part, listed)
     landing.stream_extract_upsert(newer, f"{folder}/b", f"{folder}/b-check").awaitTermination()
     landing.compact_log(spark, f"{folder}/b", f"{folder}/c")
     return landing.upserted_cards(spark, f"{folder}/c").drop("image_src")
@@ -460,7 +472,8 @@ def compact_card_log(spark, sf):
     with_tables("cars", "select id, brand, model, price, taxed, year from cars"),
 )
 def stream_offer_upsert(spark, sf):
-    pages = _landed(spark, adapters.offer_pages(adapters.cars(spark, sf)))
+    orders = adapters.table(spark, sf, "orders")
+    pages = _landed(spark, orders, lambda rows: adapters.offer_pages(adapters.cars_of(rows)))
     folder = new_folder(spark, "offer-stream")
     landing.stream_offer_upsert(
         pages, f"{folder}/log", f"{folder}/bad", f"{folder}/checkpoint"
@@ -478,9 +491,10 @@ def stream_offer_upsert(spark, sf):
     ),
 )
 def stream_detail_tags(spark, sf):
-    pages = adapters.detail_pages(adapters.cars(spark, sf)).drop("status")
+    orders = adapters.table(spark, sf, "orders")
+    pages = _landed(spark, orders, lambda rows: adapters.detail_pages(adapters.cars_of(rows)).drop("status"))
     folder = new_folder(spark, "detail-stream")
-    stream = landing.stream_detail_tags(_landed(spark, pages), f"{folder}/a", f"{folder}/checkpoint")
+    stream = landing.stream_detail_tags(pages, f"{folder}/a", f"{folder}/checkpoint")
     stream.awaitTermination()
     landing.compact_tag_log(spark, f"{folder}/a", f"{folder}/b")
     return landing.first_tags(spark, f"{folder}/b")

@@ -129,3 +129,25 @@ def test_fresh_tags_are_kept_for_a_time_only(spark, tmp_path):
     want = {(c, a, v) for c, a, v, _ in first} | {(f"n{k}-{i}", "a", "x") for k in range(4) for i in range(10)}
     assert {tuple(r) for r in landing.first_tags(spark, log).collect()} == want
     assert state[-1] < 101 + 4 * 10
+
+
+def test_more_rows_land_in_more_files_of_as_many_batches(spark, sf, monkeypatch):
+    from motorlake.plans import ingest_queries
+
+    monkeypatch.setattr(ingest_queries, "FILE_PAGES", 100)
+    orders = adapters.table(spark, sf, "orders")
+    made = []
+
+    def pages_of(rows):
+        made.append(rows.rdd.getNumPartitions())
+        return adapters.offer_pages(adapters.cars_of(rows))
+
+    stream = ingest_queries._landed(spark, orders, pages_of)
+    assert made == [3 * -(-orders.count() // 300)] and made[0] > 3 and stream.isStreaming
+
+
+def test_a_batch_of_many_splits_is_dealt_into_more_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(100).coalesce(1), spark.range(100).repartition(3 * cores)
+    assert landing._dealt(few).rdd.getNumPartitions() == max(cores, landing.TASKS_A_SPLIT)
+    assert landing._dealt(many).rdd.getNumPartitions() == landing.TASKS_A_SPLIT * 3 * cores
