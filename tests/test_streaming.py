@@ -151,3 +151,13 @@ def test_a_batch_of_many_splits_is_dealt_into_more_tasks(spark, tmp_path):
     few, many = spark.range(100).coalesce(1), spark.range(100).repartition(3 * cores)
     assert landing._dealt(few).rdd.getNumPartitions() == max(cores, landing.TASKS_A_SPLIT)
     assert landing._dealt(many).rdd.getNumPartitions() == landing.TASKS_A_SPLIT * 3 * cores
+
+
+def test_landed_detail_pages_of_many_files_give_every_tag(spark, sf, monkeypatch):
+    from motorlake.plans import ingest_queries, price_model
+
+    monkeypatch.setattr(ingest_queries, "FILE_PAGES", 100)
+    got = ingest_queries.stream_detail_tags(spark, sf)
+    pages = adapters.detail_pages(adapters.cars(spark, sf))
+    want = price_model.tags_from_pages(pages).select("car_id", "attribute", "value")
+    assert as_set(got) == as_set(want)
