@@ -131,6 +131,31 @@ def test_fresh_tags_are_kept_for_a_time_only(spark, tmp_path):
     assert state[-1] < 101 + 4 * 10
 
 
+def test_fresh_tags_are_told_apart_on_disk_by_every_value_and_null(spark, tmp_path):
+    """Short keys in RocksDB: tags that differ by where a null stands are different tags."""
+    land, log, check = (str(tmp_path / n) for n in ("land", "log", "check"))
+    schema = "car_id string, attribute string, value string, seq struct<a: long, b: long, c: struct<d: string>>"
+    rows = [
+        ("1", "a", "v", (1, None, ("x",))), ("1", "b", "v", (1, None, ("x",))), ("1", "c", None, (1, 1, None)),
+        ("v", "d", None, None), ("v", "e", "d", (None, None, (None,))),
+    ]
+    again = [
+        ("1", "a", "v", (None, 1, ("x",))), ("1", "b", None, (1, None, ("x",))), ("1", "c", None, (1, 1, (None,))),
+        ("v", "d", None, (None, None, None)), ("v", "e", "d", (None, None, None)),
+    ]
+    before = dict(spark.conf.getAll)
+    for landed in (rows, rows + again):
+        spark.createDataFrame(landed, schema).coalesce(1).write.mode("append").parquet(land)
+        stream = landing.read_landing(spark, land, spark.read.parquet(land).schema)
+        query = landing.stream_fresh_tags(stream, log, check)
+        query.awaitTermination()
+    state = query.lastProgress.stateOperators[0]
+    assert state.numRowsTotal == 10 and any(name.startswith("rocksdb") for name in state.customMetrics)
+    assert spark.read.parquet(log).count() == 10
+    assert {tuple(r) for r in landing.first_tags(spark, log).collect()} == {row[:3] for row in rows}
+    assert dict(spark.conf.getAll) == before
+
+
 def test_more_rows_land_in_more_files_of_as_many_batches(spark, sf, monkeypatch):
     from motorlake.plans import ingest_queries
 
